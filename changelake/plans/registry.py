@@ -455,7 +455,7 @@ def mart_customer_acquisition(spark, sf):
 
 def _write_raw(spark, sf, root: str, source: str) -> str:
     path = Paths.under(root).bronze_table(source)
-    write_change_log(raw(spark, sf, source), path)
+    write_change_log(raw(spark, sf, source), path, folders="month")
     return path
 
 

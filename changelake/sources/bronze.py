@@ -60,17 +60,22 @@ def footer_drift(spark: SparkSession, path: str, expected: StructType, **kw) ->
 
 
 def write_change_log(df: DataFrame, root: str, *, date_col: str = "updated_at",
-                     load_op: str = "I") -> None:
+                     load_op: str = "I", folders: str = "day") -> None:
     """Lay a change log out on disk the way the capture process does: insert
     rows (``Op = load_op``) as full-load files at the top level, every other
-    row in dated sub-folders by ``date_col``. Used to build raw tables from
-    derived logs."""
+    row in dated sub-folders by ``date_col`` (``folders``: ``day`` gives
+    ``y=YYYY/m=MM/d=DD``, ``month`` gives ``y=YYYY/m=MM``). Rows are rebalanced
+    on the folder columns first, so each folder receives few files instead of
+    one per writing task. Used to build raw tables from derived logs."""
     is_load = F.col("Op") == F.lit(load_op)
     d = F.col(date_col)
-    (df.filter(is_load)
-       .write.mode("overwrite").parquet(root))
+    parts = {"y": F.date_format(d, "yyyy"), "m": F.date_format(d, "MM")}
+    if folders == "day":
+        parts["d"] = F.date_format(d, "dd")
+    elif folders != "month":
+        raise ValueError("folders must be 'day' or 'month'")
+    df.filter(is_load).write.mode("overwrite").parquet(root)
     (df.filter(~is_load | F.col("Op").isNull())
-       .withColumn("y", F.date_format(d, "yyyy"))
-       .withColumn("m", F.date_format(d, "MM"))
-       .withColumn("d", F.date_format(d, "dd"))
-       .write.mode("overwrite").partitionBy("y", "m", "d").parquet(f"{root}/cdc"))
+       .withColumns(parts)
+       .hint("rebalance", *parts)
+       .write.mode("overwrite").partitionBy(*parts).parquet(f"{root}/cdc"))

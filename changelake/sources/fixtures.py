@@ -33,14 +33,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _versions(df: DataFrame, versions: list[tuple[Column | None, dict[str, Column]]]) -> DataFrame:
     """Emit, per input row, one output row for each version whose condition
-    holds (``None`` = always). All versions must list the same columns."""
+    holds (``None`` = always). All versions must list the same columns.
+
+    Versions whose condition fails become NULL structs and are dropped by a
+    plain filter after ``inline`` -- no lambda function, so the whole step
+    stays inside one whole-stage-codegen span."""
     names = list(versions[0][1])
     structs = []
     for cond, cols in versions:
-        s = F.struct(*[cols[n].alias(n) for n in names])
+        s = F.struct(F.lit(True).alias("_keep"), *[cols[n].alias(n) for n in names])
         structs.append(s if cond is None else F.when(cond, s))
-    arr = F.filter(F.array(*structs), lambda v: v.isNotNull())
-    return df.select(F.inline(arr))
+    return df.select(F.inline(F.array(*structs))).filter(F.col("_keep")).drop("_keep")
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
