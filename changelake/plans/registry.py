@@ -61,9 +61,15 @@ def raw(spark, sf, source) -> DataFrame:
     return fx.bronze(spark, sf, source)
 
 
+def _parent_columns(spec, parent: str) -> list[str]:
+    pspec = next(s for s in FIXTURE_SPECS.values() if s.source == parent)
+    cols = spec.parent_columns.get(parent, ())
+    return list(dict.fromkeys(["Op", CAPTURE_TS_COL, *pspec.keys, *pspec.tie_breakers, *cols]))
+
+
 def silver(spark, sf, table) -> DataFrame:
     spec = FIXTURE_SPECS[table]
-    parents = {p: raw(spark, sf, p) for p in spec.parents}
+    parents = {p: fx.bronze(spark, sf, p, _parent_columns(spec, p)) for p in spec.parents}
     return silver_frame(spec, raw(spark, sf, spec.source), parents, FIXTURE_SPECS)
 
 

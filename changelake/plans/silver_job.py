@@ -41,6 +41,15 @@ class TableRun:
     metrics: DataFrame
 
 
+def _observed(obs: Observation) -> dict:
+    """Observed values, or ``{}`` when Catalyst proved the input empty and
+    removed the observed plan altogether."""
+    try:
+        return obs.get
+    except Exception:  # noqa: BLE001 -- an empty, never-filled observation
+        return {}
+
+
 def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
               raw: DataFrame | None = None, raw_parents: Mapping[str, DataFrame] | None = None,
               parent_specs: Mapping[str, TableSpec] = SPECS, timestamp_type: DataType | None = None,
@@ -74,7 +83,7 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
         # both observations; Silver then reads the cached rows.
         write_quarantine(invalid_rows(counted), quarantine_path, config.run_id)
         write_silver(valid_rows(annotated), silver_path, spec.partition_by)
-        raw_stats, out_stats = raw_obs.get, out_obs.get
+        raw_stats, out_stats = _observed(raw_obs), _observed(out_obs)
     finally:
         annotated.unpersist()
 
@@ -87,7 +96,7 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
     if config.metrics_path:
         append_metrics(metrics.withColumn("run_id", F.lit(config.run_id)), config.metrics_path)
     if register:
-        register_table(spark, spec.name, silver_path, partitioned=bool(spec.partition_by))
+        register_table(spark, spec.name, silver_path, spec.partition_by)
     if config.fail_on_empty:
         require_rows(spec.name, valid_n)
     return TableRun(spec.name, silver_path, quarantine_path, int(raw_stats.get("raw_rows", 0)),

@@ -51,12 +51,15 @@ def append_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
-    """Catalog entry for a written table (re-pointed when it already exists);
-    partitioned tables get their folders discovered."""
+def register_table(spark: SparkSession, name: str, path: str,
+                   partition_by: Sequence[str] = ()) -> None:
+    """Catalog entry for a written table (dropped and re-created so it always
+    points at ``path``); partitioned tables get their folders discovered."""
     q = "`" + name.replace("`", "``") + "`"
     loc = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {q} USING parquet LOCATION '{loc}'")
-    if partitioned:
+    spark.sql(f"DROP TABLE IF EXISTS {q}")
+    # Schema and partition columns are inferred from the folder layout.
+    spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{loc}'")
+    if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {q}")
     spark.catalog.refreshTable(name)

@@ -31,14 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _versions(df: DataFrame, versions: list[tuple[Column | None, dict[str, Column]]]) -> DataFrame:
+def _versions(df: DataFrame, versions: list[tuple[Column | None, dict[str, Column]]],
+              columns: list[str] | None = None) -> DataFrame:
     """Emit, per input row, one output row for each version whose condition
-    holds (``None`` = always). All versions must list the same columns.
+    holds (``None`` = always). All versions must list the same columns;
+    ``columns`` narrows the output (Catalyst cannot prune fields out of the
+    version structs, so a narrow caller says so here and the scan shrinks).
 
     Versions whose condition fails become NULL structs and are dropped by a
     plain filter after ``inline`` -- no lambda function, so the whole step
     stays inside one whole-stage-codegen span."""
-    names = list(versions[0][1])
+    names = [n for n in versions[0][1] if columns is None or n in columns]
     structs = []
     for cond, cols in versions:
         s = F.struct(F.lit(True).alias("_keep"), *[cols[n].alias(n) for n in names])
@@ -46,7 +49,7 @@ def _versions(df: DataFrame, versions: list[tuple[Column | None, dict[str, Colum
     return df.select(F.inline(F.array(*structs))).filter(F.col("_keep")).drop("_keep")
 
 
-def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_orders(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     k, od = F.col("o_orderkey"), F.col("o_orderdate")
 
@@ -69,10 +72,10 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 5 == 0, version("U", 2, F.when(k % 35 != 0, od),
                              F.when(k % 50 != 0, F.lit("delivered")))),
         (k % 11 == 0, version("D", 3, od, F.lit("cancelled"))),
-    ])
+    ], columns)
 
 
-def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_payments(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     k, od, price = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_totalprice")
     method = (F.when(k % 4 == 0, "credit_card").when(k % 4 == 1, "debit_card")
@@ -96,10 +99,10 @@ def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
             "updated_at": plus_days(od, lag),
         }
 
-    return _versions(o, [(None, version("I", 0)), (k % 2 == 0, version("U", 1))])
+    return _versions(o, [(None, version("I", 0)), (k % 2 == 0, version("U", 1))], columns)
 
 
-def bronze_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_shipments(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     k, od = F.col("o_orderkey"), F.col("o_orderdate")
     carrier = (F.when(k % 5 == 0, "DHL").when(k % 5 == 1, "FedEx").when(k % 5 == 2, "UPS")
@@ -118,7 +121,7 @@ def bronze_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_order_items(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     """Natural change log: (order_id, line_number) repeats across versions."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
@@ -143,7 +146,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_products(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
     k = F.col("p_partkey")
     brand = F.when(k % 31 != 0, F.col("p_brand"))
@@ -166,10 +169,10 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
 
     return _versions(p, [(None, version("I", 0)), (k % 2 == 0, version("U", 1)),
-                         (k % 19 == 0, version("D", 2))])
+                         (k % 19 == 0, version("D", 2))], columns)
 
 
-def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_customers(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is the fixed 25-row dimension; Spark's size-checked automatic
@@ -195,10 +198,10 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
 
     return _versions(cn, [(None, version("I", 0)), (k % 2 == 0, version("U", 400)),
-                          (k % 17 == 0, version("D", 800))])
+                          (k % 17 == 0, version("D", 800))], columns)
 
 
-def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_events(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     """Stream-shaped log keyed by ``user_id`` (all capture times distinct)."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     return e.select(
@@ -220,5 +223,9 @@ BRONZE_BUILDERS = {
 }
 
 
-def bronze(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    return BRONZE_BUILDERS[source](spark, sf_dir)
+def bronze(spark: SparkSession, sf_dir: str, source: str,
+           columns: list[str] | None = None) -> DataFrame:
+    """Raw change log of ``source``; ``columns`` narrows it (single-version
+    logs are plain projections and prune either way)."""
+    df = BRONZE_BUILDERS[source](spark, sf_dir, columns)
+    return df.select(*columns) if columns else df
