@@ -27,8 +27,18 @@ def _base_ts() -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table (``{sf_dir}/{name}.parquet``).
+
+    A file written as a single row group is one scan split however large it
+    is, which would leave the per-row version derivation on one core. Such
+    under-split scans are hash-spread on the table key (its first column)
+    across the cluster's default parallelism; a scan that already has that
+    many splits is left alone (no extra shuffle at scale)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want, df.columns[0])
+    return df
 
 
 def _versions(df: DataFrame, versions: list[tuple[Column | None, dict[str, Column]]],
