@@ -26,17 +26,18 @@ def _base_ts() -> Column:
     return F.to_timestamp_ntz(F.lit(BASE_TS))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``).
 
     A file written as a single row group is one scan split however large it
     is, which would leave the per-row version derivation on one core. Such
     under-split scans are hash-spread on the table key (its first column)
     across the cluster's default parallelism; a scan that already has that
-    many splits is left alone (no extra shuffle at scale)."""
+    many splits is left alone (no extra shuffle at scale). Fixed-size lookup
+    tables pass ``spread=False``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if spread and df.rdd.getNumPartitions() < want:
         df = df.repartition(want, df.columns[0])
     return df
 
@@ -184,7 +185,7 @@ def bronze_products(spark: SparkSession, sf_dir: str, columns: list[str] | None
 
 def bronze_customers(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    n = table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name")
     # nation is the fixed 25-row dimension; Spark's size-checked automatic
     # broadcast picks it up without a hint.
     cn = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
