@@ -3,10 +3,16 @@ write valid rows and quarantine -> metrics.
 
 Cost model: the raw log is scanned once. Its newest capture time and row count
 are taken with ``observe`` on the way through the main plan (no separate
-``max`` job), and so are the valid/quarantined counts. The annotated frame is
-persisted (memory, spilling to disk) so the two writes share one scan and one
-shuffle; it is released in ``finally``. A lost executor only costs a
-recomputation of its cached blocks from the lineage.
+``max`` job), and so are the valid/quarantined counts. The two writes share
+one computation of the annotated frame, materialized one of two ways:
+
+* ``materialize="table"`` (default): written once as a staging table under the
+  shared ``spark.checkpoint.dir`` and read back for both writes. The lineage
+  is cut there, so a lost executor never replays the scan and the window
+  shuffle, and both outputs come from the same bytes.
+* ``materialize="persist"``: cached (memory, spilling to disk) and released in
+  ``finally``; cheaper for small tables, but lost blocks are recomputed from
+  the lineage.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from ..config import RunConfig
 from ..operators.quality import ERRORS_COL, annotate, invalid_rows, valid_rows
 from ..schemas import CAPTURE_TS_COL, bronze_schema
 from ..sinks.parquet import append_metrics, register_table, write_quarantine, write_silver
+from ..session import checkpoint_root
 from ..sources.bronze import read_bronze
 from .metrics import freshness_metrics, require_rows, row_count_metrics
 from .specs import SPECS, TableSpec, silver_frame
@@ -54,7 +61,8 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
               raw: DataFrame | None = None, raw_parents: Mapping[str, DataFrame] | None = None,
               parent_specs: Mapping[str, TableSpec] = SPECS, timestamp_type: DataType | None = None,
               order_as: str = "string", null_keys: str = "group",
-              broadcast_parent: bool | int = False, register: bool = False) -> TableRun:
+              broadcast_parent: bool | int = False, register: bool = False,
+              materialize: str = "table") -> TableRun:
     paths = config.paths
     if raw is None:
         raw = read_bronze(spark, paths.bronze_table(spec.source),
@@ -70,22 +78,30 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
     silver = silver_frame(spec, observed_raw, raw_parents, parent_specs, order_as=order_as,
                           null_keys=null_keys, broadcast_parent=broadcast_parent)
 
-    annotated = annotate(silver, spec.rules).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out_obs = Observation(f"out_{spec.name}_{tag}")
-        counted = annotated.observe(
-            out_obs,
-            F.count_if(F.col(ERRORS_COL).isNull()).alias("valid_rows"),
-            F.count_if(F.col(ERRORS_COL).isNotNull()).alias("quarantined_rows"))
-        quarantine_path = paths.quarantine_table(spec.name)
-        silver_path = paths.silver_table(spec.name)
-        # Quarantine first: the first write materializes the cache and fills
-        # both observations; Silver then reads the cached rows.
-        write_quarantine(invalid_rows(counted), quarantine_path, config.run_id)
-        write_silver(valid_rows(annotated), silver_path, spec.partition_by)
-        raw_stats, out_stats = _observed(raw_obs), _observed(out_obs)
-    finally:
-        annotated.unpersist()
+    out_obs = Observation(f"out_{spec.name}_{tag}")
+    annotated = annotate(silver, spec.rules).observe(
+        out_obs,
+        F.count_if(F.col(ERRORS_COL).isNull()).alias("valid_rows"),
+        F.count_if(F.col(ERRORS_COL).isNotNull()).alias("quarantined_rows"))
+    quarantine_path = paths.quarantine_table(spec.name)
+    silver_path = paths.silver_table(spec.name)
+    if materialize == "table":
+        stage_path = f"{checkpoint_root(spark)}/stage/{spec.name}/run_id={config.run_id}"
+        annotated.write.mode("overwrite").parquet(stage_path)   # fills both observations
+        staged = spark.read.schema(annotated.schema).parquet(stage_path)
+        write_quarantine(invalid_rows(staged), quarantine_path, config.run_id)
+        write_silver(valid_rows(staged), silver_path, spec.partition_by)
+    elif materialize == "persist":
+        cached = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # The first write materializes the cache and fills both observations.
+            write_quarantine(invalid_rows(cached), quarantine_path, config.run_id)
+            write_silver(valid_rows(cached), silver_path, spec.partition_by)
+        finally:
+            cached.unpersist()
+    else:
+        raise ValueError("materialize must be 'table' or 'persist'")
+    raw_stats, out_stats = _observed(raw_obs), _observed(out_obs)
 
     valid_n = int(out_stats.get("valid_rows", 0))
     max_ts = raw_stats.get("max_capture_ts")

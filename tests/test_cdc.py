@@ -106,3 +106,16 @@ def test_fixture_counts_match_documented(spark):
     assert registry.QUERIES["validate_fact_orders"](spark, sf).count() == 1301
     assert registry.QUERIES["quarantine_fact_orders"](spark, sf).count() == 62
     assert registry.QUERIES["events_current_state"](spark, sf).count() == 12
+
+
+def test_capture_text_is_session_zone_independent(spark):
+    from changelake.functions.timefmt import capture_ts_string
+    df = spark.sql("select timestamp_ntz'2024-03-10 02:30:00.123456' as t "
+                   "union all select timestamp_ntz'1998-10-03 00:00:00'")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = sorted(r.s for r in df.select(capture_ts_string("t").alias("s")).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["1998-10-03 00:00:00.000000", "2024-03-10 02:30:00.123456"]

@@ -16,14 +16,15 @@ from changelake.sources import fixtures as fx
 SF = "/root/testdata/sf0.001"
 
 
-def test_run_fact_order_items(spark, tmp_root):
+@pytest.mark.parametrize("materialize", ["table", "persist"])
+def test_run_fact_order_items(spark, tmp_root, materialize):
     spec = FIXTURE_SPECS["fact_order_items"]
     raw = fx.bronze(spark, SF, "order_items")
     orders = fx.bronze(spark, SF, "orders")
     cfg = RunConfig(Paths.under(tmp_root), environment="dev",
                     metrics_path=os.path.join(tmp_root, "metrics"))
     res = run_table(spark, spec, cfg, raw=raw, raw_parents={"orders": orders},
-                    parent_specs=FIXTURE_SPECS)
+                    parent_specs=FIXTURE_SPECS, materialize=materialize)
     # Counts documented for sf0.001: live 3,083 = 2,645 valid + 438 quarantined.
     assert (res.valid_rows, res.quarantined_rows) == (2645, 438)
     # The observed max/count equal a separate aggregate over the raw log.
