@@ -62,7 +62,7 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
               parent_specs: Mapping[str, TableSpec] = SPECS, timestamp_type: DataType | None = None,
               order_as: str = "string", null_keys: str = "group",
               broadcast_parent: bool | int = False, register: bool = False,
-              materialize: str = "table") -> TableRun:
+              materialize: str = "table", publish: str = "overwrite") -> TableRun:
     paths = config.paths
     if raw is None:
         raw = read_bronze(spark, paths.bronze_table(spec.source),
@@ -84,7 +84,16 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
         F.count_if(F.col(ERRORS_COL).isNull()).alias("valid_rows"),
         F.count_if(F.col(ERRORS_COL).isNotNull()).alias("quarantined_rows"))
     quarantine_path = paths.quarantine_table(spec.name)
-    silver_path = paths.silver_table(spec.name)
+    if publish == "overwrite":
+        silver_path = paths.silver_table(spec.name)
+    elif publish == "versioned":
+        # Each run writes its own folder; readers see the new data only when
+        # the catalog entry is re-pointed after a successful write, so a crash
+        # mid-write never leaves a half-written table behind the name.
+        silver_path = f"{paths.silver_table(spec.name)}/_versions/run_id={config.run_id}"
+        register = True
+    else:
+        raise ValueError("publish must be 'overwrite' or 'versioned'")
     if materialize == "table":
         stage_path = f"{checkpoint_root(spark)}/stage/{spec.name}/run_id={config.run_id}"
         annotated.write.mode("overwrite").parquet(stage_path)   # fills both observations

@@ -66,3 +66,18 @@ def test_entry_smoke(spark):
     assert df.columns == ["order_item_id", "order_id", "product_id", "quantity", "unit_price",
                           "line_total", "order_year", "order_month"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_versioned_publish_repoints_catalog(spark, tmp_root):
+    spec = FIXTURE_SPECS["dim_customer"]
+    raw = fx.bronze(spark, SF, "customers")
+    cfg1 = RunConfig(Paths.under(tmp_root), run_id="r1")
+    cfg2 = RunConfig(Paths.under(tmp_root), run_id="r2")
+    r1 = run_table(spark, spec, cfg1, raw=raw, parent_specs=FIXTURE_SPECS, publish="versioned")
+    r2 = run_table(spark, spec, cfg2, raw=raw.filter("customer_id % 2 = 0"),
+                   parent_specs=FIXTURE_SPECS, publish="versioned")
+    assert r1.silver_path != r2.silver_path
+    assert spark.table("dim_customer").count() == r2.valid_rows < r1.valid_rows
+    # The earlier version is still intact for readers that pinned it.
+    assert read_table(spark, r1.silver_path).count() == r1.valid_rows
+    spark.sql("DROP TABLE dim_customer")
