@@ -11,13 +11,13 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.timefmt import calendar_days, month_of, year_of
 from ..operators.cdc import reconcile
 from ..operators.joins import attach_parent
 
-Projector = Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame]
+# (live rows, live parents, **options such as broadcast_parent) -> Silver columns
+Projector = Callable[..., DataFrame]
 
 
 @dataclass(frozen=True)
@@ -38,23 +38,23 @@ class TableSpec:
 
 # ---- projections -----------------------------------------------------------
 
-def _dim_customer(live: DataFrame, _parents) -> DataFrame:
+def _dim_customer(live: DataFrame, _parents, **_opts) -> DataFrame:
     return live.select("customer_id", "first_name", "last_name", "email", "country", "phone",
                        "signup_date")
 
 
-def _dim_product(live: DataFrame, _parents) -> DataFrame:
+def _dim_product(live: DataFrame, _parents, **_opts) -> DataFrame:
     return live.select("product_id", "name", "category", "brand", "unit_price", "stock_qty")
 
 
-def _fact_orders(live: DataFrame, _parents) -> DataFrame:
+def _fact_orders(live: DataFrame, _parents, **_opts) -> DataFrame:
     return live.select("order_id", "customer_id", "order_date", "order_status",
                        year_of("order_date").alias("order_year"),
                        month_of("order_date").alias("order_month"))
 
 
 def _fact_order_items(live: DataFrame, parents: Mapping[str, DataFrame],
-                      broadcast_parent: bool | int = False) -> DataFrame:
+                      broadcast_parent: bool | int = False, **_opts) -> DataFrame:
     items = live.select("order_item_id", "order_id", "product_id", "quantity", "unit_price",
                         "line_total")
     joined = attach_parent(items, parents["orders"], on="order_id", broadcast=broadcast_parent)
@@ -64,13 +64,13 @@ def _fact_order_items(live: DataFrame, parents: Mapping[str, DataFrame],
                          month_of("order_date").alias("order_month"))
 
 
-def _fact_payments(live: DataFrame, _parents) -> DataFrame:
+def _fact_payments(live: DataFrame, _parents, **_opts) -> DataFrame:
     return live.select("payment_id", "order_id", "method", "amount", "status", "payment_date",
                        year_of("payment_date").alias("payment_year"),
                        month_of("payment_date").alias("payment_month"))
 
 
-def _fact_shipments(live: DataFrame, _parents) -> DataFrame:
+def _fact_shipments(live: DataFrame, _parents, **_opts) -> DataFrame:
     return live.select("shipment_id", "order_id", "carrier", "delivery_status", "shipped_date",
                        "delivered_date",
                        calendar_days("delivered_date", "shipped_date").alias("delivery_days"),
@@ -198,9 +198,7 @@ def silver_frame(spec: TableSpec, raw: DataFrame, raw_parents: Mapping[str, Data
     by_source = {s.source: s for s in (parent_specs or {}).values()}
     for p in spec.parents:
         parents[p] = live_parent(spec, p, (raw_parents or {})[p], by_source.get(p))
-    if spec.name == "fact_order_items":
-        return _fact_order_items(live, parents, broadcast_parent=broadcast_parent)
-    return spec.project(live, parents)
+    return spec.project(live, parents, broadcast_parent=broadcast_parent)
 
 
 def spec_for_source(source: str, specs: Mapping[str, TableSpec] = SPECS) -> TableSpec:
@@ -210,9 +208,5 @@ def spec_for_source(source: str, specs: Mapping[str, TableSpec] = SPECS) -> Tabl
     raise KeyError(source)
 
 
-def year_month_cols(spec: TableSpec) -> tuple[str, ...]:
-    return spec.partition_by
-
-
 __all__ = ["TableSpec", "SPECS", "FIXTURE_SPECS", "SILVER_TABLES", "silver_frame",
-           "live_parent", "spec_for_source", "F"]
+           "live_parent", "spec_for_source"]

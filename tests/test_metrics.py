@@ -1,7 +1,6 @@
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from changelake.functions.schema_diff import schema_drift_rows
 from changelake.plans.metrics import (GateError, age_hours, freshness_metrics, layer_divergence,

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from changelake.config import Paths, RunConfig
-from changelake.plans import registry
 from changelake.plans.metrics import GateError
 from changelake.plans.silver_job import run_table
 from changelake.plans.specs import FIXTURE_SPECS
