@@ -13,8 +13,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DIVERGENCE_THRESHOLD, REFERENCE_TIME, STALE_AFTER_HOURS
+from ..config import (DIVERGENCE_THRESHOLD, REFERENCE_TIME, STALE_AFTER_HOURS,
+                      environment_from_job_name)
 from ..functions.timefmt import hours_between, parse_capture_ts
+from ..sinks.parquet import append_metrics
 
 # Metric identities.
 FRESHNESS_NAMESPACE = "changelake/freshness"
@@ -103,3 +105,24 @@ def require_no_divergence(report: DataFrame) -> None:
         raise GateError("; ".join(
             f"{r.table_name}: upper={r.upper_rows}, lower={r.lower_rows}, divergence={r.divergence:.1%}"
             for r in bad))
+
+
+def publish_freshness_metric(spark, table_name: str, max_capture_ts: str | None, job_name: str,
+                             metrics_path: str, reference_time: datetime = REFERENCE_TIME) -> DataFrame | None:
+    """Append one freshness point for ``table_name``; nothing when the raw log
+    was empty (``max_capture_ts`` is None). Returns the appended row."""
+    if max_capture_ts is None:
+        return None
+    one = spark.createDataFrame([(table_name, max_capture_ts)], "table_name string, max_capture_ts string")
+    m = freshness_metrics(one, environment_from_job_name(job_name), reference_time)
+    append_metrics(m, metrics_path)
+    return m
+
+
+def publish_row_count_metric(spark, table_name: str, row_count: int, job_name: str,
+                             metrics_path: str) -> DataFrame:
+    """Append one row-count point for ``table_name``. Returns the appended row."""
+    one = spark.createDataFrame([(table_name, int(row_count))], "table_name string, rows bigint")
+    m = row_count_metrics(one, environment_from_job_name(job_name))
+    append_metrics(m, metrics_path)
+    return m

@@ -139,3 +139,23 @@ def run_all(spark: SparkSession, config: RunConfig, specs: Mapping[str, TableSpe
         runs[name] = run_table(spark, spec, config, raw=raw, raw_parents=parents,
                                parent_specs=specs, **kw)
     return runs
+
+
+def validate(df: DataFrame, rules, quarantine_path: str, table_name: str,
+             run_id: str | None = None) -> DataFrame:
+    """Split-and-quarantine in one call (``validate(df, rules, path, table)``).
+
+    Writes the failing rows (with ``_validation_errors``) to
+    ``{quarantine_path}/{table_name}`` under ``run_id=...`` and returns the
+    valid rows. The annotated frame stays persisted so the caller's write of
+    the returned rows does not recompute it; release it with
+    ``spark.catalog.clearCache()`` afterwards (``run_table`` manages all of
+    this itself). With no rules the input is returned unchanged and nothing
+    is written.
+    """
+    if not rules:
+        return df
+    annotated = annotate(df, rules).persist(StorageLevel.MEMORY_AND_DISK)
+    run = run_id or uuid.uuid4().hex[:12]
+    write_quarantine(invalid_rows(annotated), f"{quarantine_path.rstrip('/')}/{table_name}", run)
+    return valid_rows(annotated)

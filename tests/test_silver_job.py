@@ -80,3 +80,22 @@ def test_versioned_publish_repoints_catalog(spark, tmp_root):
     # The earlier version is still intact for readers that pinned it.
     assert read_table(spark, r1.silver_path).count() == r1.valid_rows
     spark.sql("DROP TABLE dim_customer")
+
+
+def test_one_call_validate_and_metric_publishers(spark, tmp_root):
+    from changelake.plans.metrics import publish_freshness_metric, publish_row_count_metric
+    from changelake.plans.silver_job import validate
+    df = spark.createDataFrame([(1, 5), (None, 5), (2, -1)], "a int, b int")
+    rules = {"a_not_null": "a IS NOT NULL", "b_positive": "b > 0"}
+    valid = validate(df, rules, os.path.join(tmp_root, "q"), "t", run_id="r1")
+    assert [tuple(r) for r in valid.collect()] == [(1, 5)]
+    q = read_table(spark, os.path.join(tmp_root, "q", "t"))
+    assert q.count() == 2 and q.first().run_id == "r1"
+    assert validate(df, {}, os.path.join(tmp_root, "q"), "t2") is df
+    mp = os.path.join(tmp_root, "m")
+    assert publish_freshness_metric(spark, "t", None, "proj-prod-x", mp) is None
+    publish_freshness_metric(spark, "t", "2026-03-01 23:59:59.000000", "proj-prod-x", mp)
+    publish_row_count_metric(spark, "t", 7, "proj-prod-x", mp)
+    got = {r.metric_name: (r.value, r.environment) for r in read_table(spark, mp).collect()}
+    assert got == {"silver_data_age_hours": (24.0, "prod"), "silver_row_count": (7.0, "prod")}
+    spark.catalog.clearCache()
