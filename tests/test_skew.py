@@ -45,3 +45,24 @@ def test_hot_parent_join_keeps_every_child(spark):
             items.filter("order_id = 0").count() * parents.filter("order_id = 0").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_partition_month_is_written_by_several_tasks(spark, tmp_root):
+    import os
+    from changelake.sinks.parquet import write_silver
+    n = 300_000
+    df = spark.range(n).select(
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+        F.when(F.col("id") % 3 == 0, F.lit(2020)).otherwise(2000 + F.col("id") % 20).alias("y"),
+        F.lit(1).alias("m"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        path = os.path.join(tmp_root, "hot")
+        write_silver(df, path, ["y", "m"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_dir = os.path.join(path, "y=2020", "m=1")
+    files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(path).count() == n
