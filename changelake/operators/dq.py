@@ -73,3 +73,18 @@ def violation_counts(df: DataFrame, checks: Mapping[str, Column | str]) -> DataF
         c = F.expr(cond) if isinstance(cond, str) else cond
         cols.append(F.count_if(F.coalesce(c, F.lit(False))).alias(name))
     return df.agg(*cols).unpivot([], list(checks), "check_name", "violations")
+
+
+def row_count_expectations(counts: DataFrame, expected: Mapping[str, tuple[int | None, int | None]],
+                           name_col: str = "table_name", rows_col: str = "rows") -> DataFrame:
+    """Check ``counts(table_name, rows)`` against ``{table: (min, max)}``
+    (either bound may be None). One row per expected table with the verdict;
+    a table missing from ``counts`` fails with NULL rows."""
+    spark = counts.sparkSession
+    exp = spark.createDataFrame([(t, lo, hi) for t, (lo, hi) in expected.items()],
+                                f"{name_col} string, min_rows bigint, max_rows bigint")
+    j = exp.join(counts.select(name_col, F.col(rows_col).alias("rows")), name_col, "left")
+    ok = (F.col("rows").isNotNull()
+          & (F.col("min_rows").isNull() | (F.col("rows") >= F.col("min_rows")))
+          & (F.col("max_rows").isNull() | (F.col("rows") <= F.col("max_rows"))))
+    return j.select(name_col, "rows", "min_rows", "max_rows", ok.alias("passed"))

@@ -61,3 +61,11 @@ def test_schema_drift_statuses():
     assert got["order_id"] == "retyped" and got["customer_id"] == "retyped"
     widened = StructType([StructField("customer_id", IntegerType())])
     assert schema_drift_rows(StructType([StructField("customer_id", LongType())]), widened)[0]["status"] == "widened"
+
+
+def test_row_count_expectations(spark):
+    from changelake.operators.dq import row_count_expectations
+    counts = spark.createDataFrame([("a", 50), ("b", 5)], "table_name string, rows bigint")
+    rep = {r.table_name: r.passed for r in row_count_expectations(
+        counts, {"a": (50, 50), "b": (10, None), "c": (None, 3)}).collect()}
+    assert rep == {"a": True, "b": False, "c": False}
