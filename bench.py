@@ -13,7 +13,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -49,11 +48,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
-    scratch = tempfile.mkdtemp(prefix="bench-")
+    # spark.checkpoint.dir comes from the cluster defaults when set; the
+    # session helper fills a private folder only when it is unset (local).
     spark = build_session(f"local[{cpus}]", app_name="changelake-bench",
                           shuffle_partitions=int(cpus) * 2,
-                          extra_conf={"spark.checkpoint.dir": scratch,
-                                      "spark.driver.memory": "16g"})
+                          extra_conf={"spark.driver.memory": "16g"})
     only = sys.argv[1:] or HEADLINE
 
     def timed_pass() -> dict[str, float]:
