@@ -95,7 +95,9 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
     else:
         raise ValueError("publish must be 'overwrite' or 'versioned'")
     if materialize == "table":
-        stage_path = f"{checkpoint_root(spark)}/stage/{spec.name}/run_id={config.run_id}"
+        # One staging copy per table (overwritten by the next run), so the
+        # shared folder does not grow with the number of runs.
+        stage_path = f"{checkpoint_root(spark)}/stage/{spec.name}"
         annotated.write.mode("overwrite").parquet(stage_path)   # fills both observations
         staged = spark.read.schema(annotated.schema).parquet(stage_path)
         write_quarantine(invalid_rows(staged), quarantine_path, config.run_id)
