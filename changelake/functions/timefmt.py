@@ -16,18 +16,15 @@ def _col(c: Column | str) -> Column:
 def capture_ts_string(ts: Column | str) -> Column:
     """Timestamp -> capture-time text (``YYYY-MM-DD HH:MM:SS.ffffff``).
 
-    Built from the date, hour, minute and microsecond fields instead of
-    ``date_format``: ``date_format`` casts a zone-less timestamp through the
-    session time zone, which moves wall-clock times that fall into a
-    daylight-saving gap. Field extraction is zone-independent for zone-less
-    input and equals ``date_format`` for zoned input."""
-    c = _col(ts)
-    micros = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("int")
-    return F.concat(c.cast("date").cast("string"), F.lit(" "),
-                    F.lpad(F.hour(c).cast("string"), 2, "0"), F.lit(":"),
-                    F.lpad(F.minute(c).cast("string"), 2, "0"), F.lit(":"),
-                    F.lpad((micros / 1_000_000).cast("int").cast("string"), 2, "0"), F.lit("."),
-                    F.lpad((micros % 1_000_000).cast("string"), 6, "0"))
+    Not ``date_format``: that casts a zone-less timestamp through the session
+    time zone and moves wall-clock times that fall into a daylight-saving gap.
+    A zone-less timestamp's string cast has no zone step; it trims trailing
+    fraction zeros, so the fraction is padded back to six digits. (A zoned
+    input is first read as wall-clock time in the session zone, as
+    ``date_format`` would.)"""
+    s = _col(ts).cast("timestamp_ntz").cast("string")
+    return (F.when(F.instr(s, ".") == 0, F.concat(s, F.lit(".000000")))
+            .otherwise(F.rpad(s, len("YYYY-MM-DD HH:MM:SS.ffffff"), "0")))
 
 
 def plus_days(ts: Column | str, days: int | Column) -> Column:
