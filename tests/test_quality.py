@@ -73,3 +73,18 @@ def test_annotate_single_projection(spark):
     # not a chain of withColumn calls.
     plan = annotate(_df(spark), RULES)._jdf.queryExecution().analyzed().toString()
     assert plan.count("Project") == 1
+
+
+def test_null_keys_keep_quarantines_every_null_key_row(spark):
+    from changelake.operators.cdc import reconcile
+    raw = spark.createDataFrame([
+        ("I", "2024-01-01 00:00:00.000000", None, "a"),
+        ("I", "2024-01-02 00:00:00.000000", None, "b"),
+        ("U", "2024-01-03 00:00:00.000000", None, "c"),
+        ("I", "2024-01-01 00:00:00.000000", 1, "d"),
+    ], "Op string, _dms_timestamp string, id int, v string")
+    rules = {"id_not_null": "id IS NOT NULL"}
+    _, bad_group = split(reconcile(raw, "id"), rules)
+    _, bad_keep = split(reconcile(raw, "id", null_keys="keep"), rules)
+    assert bad_group.count() == 1          # NULL keys collapse into one key
+    assert sorted(r.v for r in bad_keep.collect()) == ["a", "b", "c"]
