@@ -3,8 +3,8 @@
 Features are the distinct hashed words, word pairs and one-word-gap skip-grams
 of the whole text, each 1 if present. Training runs in rounds: every shard of
 the labelled sample starts from the shared state, makes one FTRL pass with
-per-coordinate rates, and the states are averaged. L1 keeps most weights at
-exactly zero. The state has ``2**bits`` coordinates whatever the corpus, so its
+per-coordinate rates, and the states are averaged; the rarer label counts
+``positive`` times. L1 keeps most weights at exactly zero. The state has ``2**bits`` coordinates whatever the corpus, so its
 broadcast is bounded (16 MB at 20 bits).
 
 The labelled sample is bounded: about ``sample_rows`` rows, chosen by a hash of
@@ -71,8 +71,9 @@ def _crc_fold(doc_id: Column, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = 20,
-          sample_rows: int = 16_000, shards: int = 8, rounds: int = 4, alpha: float = 0.3,
-          beta: float = 1.0, l1: float = 1.0, l2: float = 0.5, folds: int = 5) -> np.ndarray | None:
+          sample_rows: int = 16_000, shards: int = 4, rounds: int = 8, alpha: float = 1.0,
+          beta: float = 1.0, l1: float = 10.0, l2: float = 0.1, positive: float = 3.0,
+          folds: int = 5) -> np.ndarray | None:
     """Weights (bias last), or None if there is no labelled row to learn from."""
     spark = docs.sparkSession
     size = (1 << bits) + 1
@@ -116,6 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
                 nx, zx = n[x], z[x]
                 w = weights_of(zx, nx, alpha, beta, l1, l2)
                 g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - ys[k]
+                g *= positive if ys[k] else 1.0
                 z[x] = zx + g - (np.sqrt(nx + g * g) - np.sqrt(nx)) / alpha * w
                 n[x] = nx + g * g
                 touched[x] = True
