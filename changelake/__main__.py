@@ -1,8 +1,9 @@
 """Command line: run Silver tables and, optionally, the Gold marts.
 
-    spark-submit -m changelake --BRONZE_PATH s3://b --SILVER_PATH s3://s \\
+    spark-submit changelake_job.py --BRONZE_PATH s3://b --SILVER_PATH s3://s \\
         --QUARANTINE_PATH s3://q [--TABLE fact_orders ...] [--JOB_NAME proj-dev-x] \\
-        [--METRICS_PATH s3://m] [--GOLD_PATH s3://g] [--PUBLISH versioned]
+        [--METRICS_PATH s3://m] [--GOLD_PATH s3://g] [--PUBLISH versioned] \\
+        [--ORDER_AS timestamp] [--NULL_KEYS keep] [--MATERIALIZE persist] [--CHECK_SCHEMA warn]
 """
 
 from __future__ import annotations
@@ -26,7 +27,11 @@ def main(argv=None) -> int:
     ap.add_argument("--JOB_NAME", default="changelake")
     ap.add_argument("--METRICS_PATH")
     ap.add_argument("--GOLD_PATH")
-    ap.add_argument("--PUBLISH", default="overwrite", choices=["overwrite", "versioned"])
+    ap.add_argument("--PUBLISH", default="versioned", choices=["overwrite", "versioned"])
+    ap.add_argument("--ORDER_AS", default="string", choices=["string", "timestamp"])
+    ap.add_argument("--NULL_KEYS", default="group", choices=["group", "keep"])
+    ap.add_argument("--MATERIALIZE", default="table", choices=["table", "persist"])
+    ap.add_argument("--CHECK_SCHEMA", default="error", choices=["error", "warn", "off"])
     ap.add_argument("--FAIL_ON_EMPTY", action="store_true")
     a = ap.parse_args(argv)
     spark = build_session(app_name=a.JOB_NAME)
@@ -34,7 +39,8 @@ def main(argv=None) -> int:
                     metrics_path=a.METRICS_PATH, fail_on_empty=a.FAIL_ON_EMPTY)
     tables = a.TABLE or sorted(SPECS, key=lambda n: (not n.startswith("dim_"), n))
     for t in tables:
-        r = run_table(spark, SPECS[t], cfg, publish=a.PUBLISH)
+        r = run_table(spark, SPECS[t], cfg, publish=a.PUBLISH, order_as=a.ORDER_AS,
+                      null_keys=a.NULL_KEYS, materialize=a.MATERIALIZE, check_schema=a.CHECK_SCHEMA)
         print(json.dumps({"table": t, "run_id": cfg.run_id, "raw_rows": r.raw_rows,
                           "valid_rows": r.valid_rows, "quarantined_rows": r.quarantined_rows,
                           "max_capture_ts": r.max_capture_ts}))

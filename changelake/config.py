@@ -11,6 +11,14 @@ def _strip(root: str) -> str:
     return root.rstrip("/") if root not in ("/", "") else root
 
 
+# Where a table lies under its layer's root.
+LAYER_PATHS = {
+    "bronze": "{root}/raw/public/{table}",
+    "silver": "{root}/{table}",
+    "quarantine": "{root}/{table}",
+}
+
+
 @dataclass(frozen=True)
 class Paths:
     """Roots of the raw (Bronze), Silver and quarantine layers.
@@ -31,14 +39,18 @@ class Paths:
         for name in ("bronze_root", "silver_root", "quarantine_root"):
             object.__setattr__(self, name, _strip(getattr(self, name)))
 
+    def table(self, layer: str, name: str) -> str:
+        """Path of a table in a layer, by the layer's template."""
+        return LAYER_PATHS[layer].format(root=getattr(self, f"{layer}_root"), table=name)
+
     def bronze_table(self, table: str) -> str:
-        return f"{self.bronze_root}/raw/public/{table}"
+        return self.table("bronze", table)
 
     def silver_table(self, table: str) -> str:
-        return f"{self.silver_root}/{table}"
+        return self.table("silver", table)
 
     def quarantine_table(self, table: str) -> str:
-        return f"{self.quarantine_root}/{table}"
+        return self.table("quarantine", table)
 
     @classmethod
     def under(cls, root: str) -> Paths:

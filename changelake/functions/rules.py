@@ -28,17 +28,6 @@ def not_null(col: str) -> tuple[str, str]:
     return f"{col}_not_null", f"{quote(col)} IS NOT NULL"
 
 
-def positive(col: str) -> tuple[str, str]:
-    return f"{col}_positive", f"{quote(col)} > 0"
-
-
-def non_negative(col: str, allow_null: bool = False) -> tuple[str, str]:
-    text = f"{quote(col)} >= 0"
-    if allow_null:
-        text = f"{quote(col)} IS NULL OR {text}"
-    return f"{col}_non_negative", text
-
-
 def accepted_values(col: str, values: Iterable, allow_null: bool = False) -> tuple[str, str]:
     """``col IN (...)``; a NULL value fails unless ``allow_null``."""
     listed = ", ".join(sql_literal(v) for v in values)

@@ -34,6 +34,8 @@ DRIFT_SCHEMA = StructType([
     StructField("expected_type", StringType()),
     StructField("actual_type", StringType()),
     StructField("status", StringType()),
+    StructField("files", LongType()),
+    StructField("rows", LongType()),
 ])
 
 
@@ -74,5 +76,5 @@ def schema_drift_rows(expected: StructType, actual: StructType) -> list[dict]:
     return rows
 
 
-def schema_drift_frame(spark: SparkSession, expected: StructType, actual: StructType) -> DataFrame:
-    return spark.createDataFrame(schema_drift_rows(expected, actual), DRIFT_SCHEMA)
+def schema_drift_frame(spark: SparkSession, drift: list[dict]) -> DataFrame:
+    return spark.createDataFrame([tuple(r[f.name] for f in DRIFT_SCHEMA.fields) for r in drift], DRIFT_SCHEMA)

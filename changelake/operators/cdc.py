@@ -21,6 +21,7 @@ from ..functions.timefmt import parse_capture_ts
 from ..schemas import CAPTURE_TS_COL, OP_COL, OP_DELETE, OP_INSERT, OP_UPDATE
 
 ROW_NUM_COL = "_row_num"
+_NULL_KEY_ROW = "_null_key_row"
 
 # Tie rank of operations at equal capture time (higher wins):
 # a delete beats an update beats an insert; unknown or NULL codes rank lowest.
@@ -42,8 +43,8 @@ def recency_order(ts_col: str = CAPTURE_TS_COL, op_col: str | None = OP_COL,
                   tie_breakers: Sequence[Column | str] = (),
                   order_as: str = "string") -> list[Column]:
     """Sort expressions, newest first: capture time desc (NULL last), then the
-    caller's tie breakers (descending when given as column names), then the
-    operation tie rank as the last resort."""
+    operation rank (a delete at the same instant beats an update beats an
+    insert), then the caller's tie breakers (descending when given as names)."""
     if order_as == "string":
         ts = F.col(ts_col)
     elif order_as == "timestamp":
@@ -51,20 +52,33 @@ def recency_order(ts_col: str = CAPTURE_TS_COL, op_col: str | None = OP_COL,
     else:
         raise ValueError("order_as must be 'string' or 'timestamp'")
     order = [ts.desc_nulls_last()]
-    for tb in tie_breakers:
-        order.append(F.col(tb).desc_nulls_last() if isinstance(tb, str) else tb)
     if op_col is not None:
         order.append(op_rank(op_col).desc())
+    for tb in tie_breakers:
+        order.append(F.col(tb).desc_nulls_last() if isinstance(tb, str) else tb)
     return order
 
 
+def whole_row(columns: Sequence[str], keys: Sequence[str]) -> Column:
+    """The last tie breaker: all columns but the key, compared in order, so that
+    rows which tie on everything else still have one defined winner."""
+    return F.struct(*[F.col(c) for c in columns if c not in set(keys)])
+
+
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], *,
                    ts_col: str = CAPTURE_TS_COL, op_col: str | None = OP_COL,
                    tie_breakers: Sequence[Column | str] = (),
                    order_as: str = "string") -> DataFrame:
     """Newest row per key, capture columns kept (deletes included)."""
     keys = _as_list(keys)
-    w = Window.partitionBy(*keys).orderBy(*recency_order(ts_col, op_col, tie_breakers, order_as))
+    return _newest(df, keys, keys, ts_col, op_col, tie_breakers, order_as)
+
+
+def _newest(df: DataFrame, part: Sequence[str], keys: Sequence[str], ts_col, op_col, tie_breakers,
+            order_as) -> DataFrame:
+    order = recency_order(ts_col, op_col, tie_breakers, order_as)
+    last = whole_row([c for c in df.columns if c != _NULL_KEY_ROW], keys)
+    w = Window.partitionBy(*part).orderBy(*order, last.desc())
     return (df.withColumn(ROW_NUM_COL, F.row_number().over(w))
               .filter(F.col(ROW_NUM_COL) == 1)
               .drop(ROW_NUM_COL))
@@ -95,17 +109,12 @@ def reconcile(df: DataFrame, keys: str | Sequence[str], *,
         has_null = F.lit(False)
         for k in keys:
             has_null = has_null | F.col(k).isNull()
-        keyed = latest_per_key(df.filter(~has_null), keys, ts_col=ts_col, op_col=op_col,
-                               tie_breakers=tie_breakers, order_as=order_as)
-        current = keyed.unionByName(df.filter(has_null))
+        # One pass: a row without a key is a group of its own.
+        numbered = df.withColumn(_NULL_KEY_ROW, F.when(has_null, F.monotonically_increasing_id()))
+        current = _newest(numbered, [*keys, _NULL_KEY_ROW], keys, ts_col, op_col, tie_breakers,
+                          order_as).drop(_NULL_KEY_ROW)
     else:
         current = latest_per_key(df, keys, ts_col=ts_col, op_col=op_col,
                                  tie_breakers=tie_breakers, order_as=order_as)
     current = drop_deleted(current, op_col)
     return current if keep_capture_cols else current.drop(op_col, ts_col)
-
-
-def max_capture_ts(df: DataFrame, ts_col: str = CAPTURE_TS_COL) -> DataFrame:
-    """One-row frame with the newest capture time of the whole raw log
-    (deletes and future quarantine rows included; NULL when empty)."""
-    return df.agg(F.max(ts_col).alias("max_capture_ts"))

@@ -1,56 +1,26 @@
 """Child -> live parent joins.
 
-By default the join is left to Catalyst and AQE: the child shuffles on the
-join key and the parent side -- already hash-partitioned on that key by its
-own reconciliation window -- joins without a second exchange. AQE turns the
-join into a broadcast at run time when the *materialized* parent is small, and
-splits skewed child partitions (a parent with a third of all children) into
-several tasks.
-
-A forced broadcast is opt-in and size-checked: the parent is counted (up to
-the bound plus one row) and only broadcast when it fits; otherwise the plain
-shuffle join is used.
+No join forces a broadcast and none counts its parent to choose a plan. The
+child shuffles on the join key; the parent side is already hash-partitioned on
+it by its own reconciliation window. At run time AQE turns the join into a
+broadcast when the parent's *measured* shuffle size is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold`` (bytes, 32 MB in library
+sessions) and splits skewed child partitions, such as a parent with a third of
+all children, into several tasks.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
 
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most one more)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def attach_parent(child: DataFrame, parent: DataFrame, on: str | Sequence[str],
-                  broadcast: bool | int = False) -> DataFrame:
-    """Left outer join of child rows to their live parent row.
-
-    ``broadcast``: False -> Spark decides; True -> broadcast when the parent
-    has at most ``DEFAULT_BROADCAST_MAX_ROWS`` rows; an int -> that bound.
-    """
-    if broadcast:
-        bound = DEFAULT_BROADCAST_MAX_ROWS if broadcast is True else int(broadcast)
-        if fits_in_rows(parent, bound):
-            return child.join(F.broadcast(parent), on=on, how="left")
-        log.warning("parent exceeds %d rows; using a shuffle join instead of broadcast", bound)
+def attach_parent(child: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Left outer join of child rows to their live parent row."""
     return child.join(parent, on=on, how="left")
 
 
 def orphans(child: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Child rows whose key has no live parent (NULL keys are orphans too)."""
     return child.join(parent, on=on, how="left_anti")
-
-
-def missing_parents(child: DataFrame, parent_keys: DataFrame, on: str) -> DataFrame:
-    """Foreign-key violations: distinct child key values absent from the parent."""
-    keys = child.select(on).where(F.col(on).isNotNull()).distinct()
-    return keys.join(parent_keys.select(on), on=on, how="left_anti")

@@ -1,9 +1,10 @@
 """Gold layer: marts built from the written Silver tables.
 
-Order of work: freshness gate on the Silver metrics, build every mart from the
-Silver tables (read with partition pruning where a mart filters by month),
-write them, then compare each Silver table's published row count with the
-row count Gold read back (layer divergence gate).
+Order of work: freshness gate on the latest recorded Silver metrics (a table
+without a current point fails it), build every mart from the current Silver
+versions, write them, then compare what each mart counted with the row count
+that Silver published for the mart's table (layer divergence gate): a mart that
+loses rows on the way is caught, and so is a count that is missing.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DIVERGENCE_THRESHOLD, RunConfig
-from ..sinks.parquet import read_table, write_silver
+from ..sinks.parquet import read_metrics, read_table, write_silver
 from . import marts
-from .metrics import ROW_COUNT_METRIC, layer_divergence, require_fresh, require_no_divergence
+from .metrics import (LATEST_WINDOW_HOURS, ROW_COUNT_METRIC, latest_points, layer_divergence, require_compared,
+                      require_fresh, require_no_divergence)
 
 # Mart name -> (builder, Silver tables it reads). Every mart is a small
 # aggregate; the product mart pre-aggregates items before its join.
@@ -35,36 +37,62 @@ MARTS = {
 }
 
 
-def silver_counts(spark: SparkSession, config: RunConfig, tables) -> DataFrame:
-    """Rows per Silver table as Gold sees them (one counting scan each)."""
-    frames = [read_table(spark, config.paths.silver_table(t)).agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.lit(t).alias("table_name"), "rows") for t in tables]
+# Marts that count every row of a Silver table: mart -> (table, count column).
+CONSERVED = {
+    "mart_revenue_by_method": ("fact_payments", "payments"),
+    "mart_failed_payment_rate": ("fact_payments", "payments"),
+    "mart_delivery_days": ("fact_shipments", "shipments"),
+    "mart_delivery_failure": ("fact_shipments", "shipments"),
+    "mart_fulfilment": ("fact_shipments", "shipments"),
+    "mart_product_performance": ("fact_order_items", "items"),
+    "mart_customer_acquisition": ("dim_customer", "customers"),
+}
+
+
+def counted_by_marts(built: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name = mart, rows): Silver rows that each mart accounts for."""
+    frames = [df.agg(F.coalesce(F.sum(CONSERVED[name][1]), F.lit(0)).cast("bigint").alias("rows"))
+              .select(F.lit(name).alias("table_name"), "rows")
+              for name, df in built.items() if name in CONSERVED]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def expected_by_marts(published: DataFrame, names) -> DataFrame:
+    """(table_name = mart, rows): what Silver published for each mart's table."""
+    spark = published.sparkSession
+    pairs = spark.createDataFrame([(n, CONSERVED[n][0]) for n in names if n in CONSERVED],
+                                  "mart string, table_name string")
+    return (pairs.join(published.select("table_name", "rows"), "table_name", "left")
+            .select(F.col("mart").alias("table_name"), "rows"))
+
+
 def run_gold(spark: SparkSession, config: RunConfig, gold_root: str,
              marts_to_build: Mapping | None = None, check_fresh: bool = True,
-             threshold: float = DIVERGENCE_THRESHOLD) -> DataFrame:
-    """Build and write the marts; return the divergence report (raises on a
-    stale table or a divergence above ``threshold``)."""
+             threshold: float = DIVERGENCE_THRESHOLD,
+             window_hours: float | None = LATEST_WINDOW_HOURS) -> DataFrame:
+    """Build and write the marts; return the divergence report. Raises on a
+    stale, unknown or missing table and on a mart that differs from Silver by
+    more than ``threshold``. Silver and Gold may run apart: the latest points
+    recorded within ``window_hours`` count, whichever run recorded them."""
     if not config.metrics_path:
         raise ValueError("run_gold needs RunConfig.metrics_path (the Silver metrics table)")
-    metrics = read_table(spark, config.metrics_path)
-    latest = metrics.filter(F.col("run_id") == config.run_id) if "run_id" in metrics.columns else metrics
-    if check_fresh:
-        require_fresh(latest, config.stale_after_hours)
     wanted = marts_to_build or MARTS
     needed = sorted({t for _, ts in wanted.values() for t in ts})
+    latest = latest_points(read_metrics(spark, config.metrics_path), config.environment, window_hours)
+    if check_fresh:
+        require_fresh(latest, config.stale_after_hours, required=needed)
     silver = {t: read_table(spark, config.paths.silver_table(t)) for t in needed}
+    written = {}
     for name, (build, _) in wanted.items():
-        write_silver(build(silver), f"{gold_root.rstrip('/')}/{name}")
+        path = f"{gold_root.rstrip('/')}/{name}"
+        write_silver(build(silver), path)
+        written[name] = read_table(spark, path)
     published = (latest.filter(F.col("metric_name") == ROW_COUNT_METRIC)
                  .select("table_name", F.col("value").cast("bigint").alias("rows")))
-    # One metric row per table: the table list is bounded by the catalog.
-    tables = sorted({r.table_name for r in published.select("table_name").distinct().collect()})
-    report = layer_divergence(published, silver_counts(spark, config, tables or needed), threshold)
+    report = layer_divergence(expected_by_marts(published, wanted), counted_by_marts(written), threshold)
+    require_compared(report)
     require_no_divergence(report)
     return report

@@ -13,11 +13,14 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MONEY_SUM = "decimal(18,2)"
+# Sums of money are as wide as decimals go: summing decimal(28,2) values gives
+# decimal(38,2), so no group can overflow a narrower cast.
+WIDE_MONEY = "decimal(28,2)"
+UNKNOWN_PRODUCT = "(unknown product)"
 
 
-def _money_sum(col: str) -> F.Column:
-    return F.sum(col).cast(MONEY_SUM)
+def _money_sum(col) -> F.Column:
+    return F.sum((F.col(col) if isinstance(col, str) else col).cast(WIDE_MONEY))
 
 
 def _rate(num, den) -> F.Column:
@@ -34,7 +37,7 @@ def revenue_by_month(payments: DataFrame) -> DataFrame:
 def revenue_by_method(payments: DataFrame) -> DataFrame:
     return (payments.groupBy("method")
             .agg(F.count(F.lit(1)).alias("payments"),
-                 F.sum(F.when(F.col("status") == "completed", F.col("amount"))).cast(MONEY_SUM)
+                 _money_sum(F.when(F.col("status") == "completed", F.col("amount")))
                  .alias("completed_revenue")))
 
 
@@ -86,15 +89,19 @@ def items_of_month(items: DataFrame, year: int, month: int) -> DataFrame:
 
 
 def product_performance(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Units, revenue and orders per product. Items are aggregated per
-    product *before* the join, so the join sees one row per product."""
+    """Units, revenue, item rows and orders per product. Items are aggregated per
+    product *before* the join, so the join sees one row per product. Items of a
+    product that is not (or no longer) in the dimension stay, marked as unknown,
+    so the mart's revenue is the fact table's."""
     per_product = (items.groupBy("product_id")
                    .agg(F.sum("quantity").cast("bigint").alias("units"),
                         _money_sum("line_total").alias("revenue"),
+                        F.count(F.lit(1)).alias("items"),
                         F.count_distinct("order_id").alias("orders")))
-    return (per_product.join(products.select("product_id", "name", "category", "brand"),
-                             "product_id", "inner")
-            .select("product_id", "name", "category", "brand", "units", "revenue", "orders"))
+    known = products.select("product_id", "name", "category", "brand", F.lit(True).alias("_known"))
+    return (per_product.join(known, "product_id", "left")
+            .select("product_id", F.when(F.col("_known"), F.col("name")).otherwise(UNKNOWN_PRODUCT).alias("name"),
+                    "category", "brand", "units", "revenue", "items", "orders"))
 
 
 def customer_acquisition(customers: DataFrame) -> DataFrame:

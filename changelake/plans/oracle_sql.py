@@ -19,7 +19,7 @@ select 'I' as Op, {_ts('o_orderdate')} as _dms_timestamp, cast(o_orderkey as int
   case o_orderstatus when 'F' then 'delivered' when 'O' then 'confirmed' else 'pending' end as order_status, o_orderdate as updated_at from orders
 union all select 'U', {_ts('o_orderdate + interval 1 day')}, cast(o_orderkey as int), cast(o_custkey as int), o_orderdate, 'shipped', o_orderdate + interval 1 day from orders where o_orderkey % 3 = 0
 union all select 'U', {_ts('o_orderdate + interval 2 day')}, cast(o_orderkey as int), cast(o_custkey as int), case when o_orderkey % 35 = 0 then null else o_orderdate end,
-  case when o_orderkey % 50 = 0 then null else 'delivered' end, o_orderdate + interval 2 day from orders where o_orderkey % 5 = 0
+  case when o_orderkey % 50 = 0 then null when o_orderkey % 45 = 0 then 'misplaced' else 'delivered' end, o_orderdate + interval 2 day from orders where o_orderkey % 5 = 0
 union all select 'D', {_ts('o_orderdate + interval 3 day')}, cast(o_orderkey as int), cast(o_custkey as int), o_orderdate, 'cancelled', o_orderdate + interval 3 day from orders where o_orderkey % 11 = 0""",
     "payments": f"""
 select op as Op, {_ts('o_orderdate + lag * interval 1 day')} as _dms_timestamp, cast(o_orderkey as int) as payment_id, cast(o_orderkey as int) as order_id,
@@ -31,13 +31,13 @@ from orders join (select 'I' as op, 0 as lag union all select 'U', 1) v on op =
     "shipments": f"""
 select 'I' as Op, {_ts('o_orderdate + interval 1 day')} as _dms_timestamp, cast(o_orderkey as int) as shipment_id, cast(o_orderkey as int) as order_id,
   case o_orderkey % 5 when 0 then 'DHL' when 1 then 'FedEx' when 2 then 'UPS' when 3 then 'Royal Mail' else 'DPD' end as carrier,
-  case when o_orderkey % 4 = 0 then 'in_transit' else 'delivered' end as delivery_status,
+  case when o_orderkey % 4 = 0 then 'in_transit' when o_orderkey % 13 = 0 then 'failed' else 'delivered' end as delivery_status,
   case when o_orderkey % 37 = 0 then null else o_orderdate + interval 1 day end as shipped_date,
-  case when o_orderkey % 4 = 0 then null when o_orderkey % 9 = 0 then o_orderdate - interval 1 day else o_orderdate + interval 5 day end as delivered_date,
+  case when o_orderkey % 4 = 0 then null when o_orderkey % 9 = 0 then o_orderdate - interval 1 day else o_orderdate + (3 + o_orderkey % 7) * interval 1 day end as delivered_date,
   o_orderdate + interval 1 day as updated_at from orders""",
     "order_items": f"""
 select case l_returnflag when 'R' then 'D' when 'N' then 'I' else 'U' end as Op, {_ts('l_shipdate')} as _dms_timestamp, cast(l_orderkey as int) as order_id, l_linenumber as line_number,
-  cast(l_orderkey * 10 + l_linenumber as int) as order_item_id, cast(l_partkey as int) as product_id, cast(l_suppkey as int) as supplier_id,
+  cast(l_orderkey * 10 + l_linenumber as bigint) as order_item_id, cast(l_partkey as int) as product_id, cast(l_suppkey as int) as supplier_id,
   case when l_partkey % 71 = 0 then 0 else cast(l_quantity as int) end as quantity,
   cast(900 + l_partkey % 100 as decimal(10,2)) as unit_price,
   case when l_partkey % 73 = 0 then null else cast(cast(l_quantity as int) * (900 + l_partkey % 100) + case when l_orderkey % 89 = 0 then 1 else 0 end as decimal(10,2)) end as line_total,
@@ -77,7 +77,7 @@ def bronze_cte(source: str, name: str | None = None) -> str:
 def latest_sql(source: str, from_name: str | None = None) -> str:
     """Newest row per key (deletes kept), capture columns kept."""
     frm = from_name or f"bronze_{source}"
-    order = ", ".join(["_dms_timestamp desc nulls last", *TIES.get(source, []), f"{OP_RANK_SQL} desc"])
+    order = ", ".join(["_dms_timestamp desc nulls last", f"{OP_RANK_SQL} desc", *TIES.get(source, [])])
     part = ", ".join(KEYS[source])
     return (f"select * exclude (_rn) from (select *, row_number() over (partition by {part} "
             f"order by {order}) as _rn from {frm}) where _rn = 1")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, TimestampNTZType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from ..config import Paths, RunConfig
 from ..functions import rules as R
@@ -24,13 +24,15 @@ from ..operators.joins import orphans
 from ..operators.quality import ERRORS_COL, annotate, failure_counts, invalid_rows, replay, valid_rows
 from ..schemas import CAPTURE_TS_COL, bronze_schema
 from ..session import scratch_dir
-from ..sinks.parquet import read_table
+from ..sinks.parquet import read_metrics, read_table
 from ..sources import fixtures as fx
-from ..sources.bronze import footer_schema, read_bronze, write_change_log
-from ..streaming.incremental import current_state, start_change_stream
+from ..sources.bronze import footer_drift, read_bronze
+from ..streaming.incremental import compact, current_state, start_change_stream
 from . import marts
 from . import oracle_sql as O
-from .metrics import freshness_metrics, layer_divergence, row_count_metrics, stale_alerts
+from .gold_job import CONSERVED, counted_by_marts, expected_by_marts
+from .metrics import (divergence_report, freshness_metrics, layer_divergence, row_count_metrics, stale_alerts,
+                      stale_tables)
 from .silver_job import run_table
 from .specs import FIXTURE_SPECS, SILVER_TABLES, silver_frame
 
@@ -266,7 +268,7 @@ def metric_freshness(spark, sf):
     return _freshness(spark, sf)
 
 
-@register("alert_stale", _FRESHNESS_SQL + "select * from freshness where value > 24")
+@register("alert_stale", _FRESHNESS_SQL + "select * from freshness where value is null or value > 24")
 def alert_stale(spark, sf):
     return stale_alerts(_freshness(spark, sf))
 
@@ -284,9 +286,10 @@ def metric_row_count(spark, sf):
           "round(case when valid_rows > 0 then abs(valid_rows - live_rows) / valid_rows end, 6) as divergence, "
           "coalesce(abs(valid_rows - live_rows) / valid_rows > 0.05, false) as exceeds from counts")
 def layer_divergence_q(spark, sf):
+    # Both counts come from one pass, so nothing is joined or computed twice.
     c = _table_counts(spark, sf)
-    rep = layer_divergence(c.select("table_name", F.col("valid_rows").alias("rows")),
-                           c.select("table_name", F.col("live_rows").alias("rows")))
+    rep = divergence_report(c.select("table_name", F.col("valid_rows").alias("upper_rows"),
+                                     F.col("live_rows").alias("lower_rows")))
     return rep.withColumn("divergence", F.round("divergence", 6))
 
 
@@ -377,7 +380,7 @@ def _valid_sql(*tables: str) -> str:
 
 
 @register("mart_revenue_by_month", _valid_sql("fact_payments") + """
-select payment_year, payment_month, cast(sum(amount) as decimal(18,2)) as revenue, count(*) as payments
+select payment_year, payment_month, cast(sum(amount) as decimal(38,2)) as revenue, count(*) as payments
 from valid_fact_payments where status = 'completed' group by payment_year, payment_month""")
 def mart_revenue_by_month(spark, sf):
     return marts.revenue_by_month(valid(spark, sf, "fact_payments"))
@@ -385,7 +388,7 @@ def mart_revenue_by_month(spark, sf):
 
 @register("mart_revenue_by_method", _valid_sql("fact_payments") + """
 select method, count(*) as payments,
-  cast(sum(case when status = 'completed' then amount end) as decimal(18,2)) as completed_revenue
+  cast(sum(case when status = 'completed' then amount end) as decimal(38,2)) as completed_revenue
 from valid_fact_payments group by method""")
 def mart_revenue_by_method(spark, sf):
     return marts.revenue_by_method(valid(spark, sf, "fact_payments"))
@@ -400,7 +403,7 @@ def mart_failed_payment_rate(spark, sf):
 
 
 @register("mart_refunds_by_month", _valid_sql("fact_payments") + """
-select payment_year, payment_month, cast(sum(amount) as decimal(18,2)) as refund_amount, count(*) as refunds
+select payment_year, payment_month, cast(sum(amount) as decimal(38,2)) as refund_amount, count(*) as refunds
 from valid_fact_payments where status = 'refunded' group by payment_year, payment_month""")
 def mart_refunds_by_month(spark, sf):
     return marts.refunds_by_month(valid(spark, sf, "fact_payments"))
@@ -440,10 +443,11 @@ def mart_fulfilment(spark, sf):
 
 @register("mart_product_performance", _valid_sql("fact_order_items", "dim_product") + """
 , per_product as (select product_id, cast(sum(quantity) as bigint) as units,
-  cast(sum(line_total) as decimal(18,2)) as revenue, count(distinct order_id) as orders
+  cast(sum(line_total) as decimal(38,2)) as revenue, count(*) as items, count(distinct order_id) as orders
   from valid_fact_order_items group by product_id)
-select p.product_id, d.name, d.category, d.brand, p.units, p.revenue, p.orders
-from per_product p join valid_dim_product d on p.product_id = d.product_id""")
+select p.product_id, case when d.product_id is null then '(unknown product)' else d.name end as name,
+  d.category, d.brand, p.units, p.revenue, p.items, p.orders
+from per_product p left join valid_dim_product d on p.product_id = d.product_id""")
 def mart_product_performance(spark, sf):
     return marts.product_performance(valid(spark, sf, "fact_order_items"),
                                      valid(spark, sf, "dim_product"))
@@ -461,7 +465,7 @@ def mart_customer_acquisition(spark, sf):
 
 def _write_raw(spark, sf, root: str, source: str) -> str:
     path = Paths.under(root).bronze_table(source)
-    write_change_log(raw(spark, sf, source), path, folders="month")
+    fx.write_change_log(raw(spark, sf, source), path, folders="month")
     return path
 
 
@@ -559,18 +563,145 @@ def quarantine_replay(spark, sf):
 def stream_current_state(spark, sf):
     root = scratch_dir(spark, "stream")
     source = f"{root}/source"
-    # Files arrive grouped by event type, i.e. out of capture-time order.
-    raw(spark, sf, "events").repartition(6, "event_type").write.parquet(source)
-    schema = spark.read.parquet(source).schema
-    q = start_change_stream(spark, source, schema, ["user_id"], f"{root}/state",
-                            max_files_per_trigger=2)
-    q.awaitTermination()
+    # Files hold events of all times: spread by event, so out of capture order.
+    raw(spark, sf, "events").repartition("event_id").write.parquet(f"{source}/a")
+    schema = spark.read.parquet(f"{source}/a").schema
+    start_change_stream(spark, source, schema, ["user_id"], f"{root}/state").awaitTermination()
+    compact(spark, f"{root}/state", ["user_id"])
+    # The deletes are delivered once more, after the snapshot.
+    raw(spark, sf, "events").filter("Op = 'D'").write.parquet(f"{source}/b")
+    start_change_stream(spark, source, schema, ["user_id"], f"{root}/state").awaitTermination()
     return current_state(spark, f"{root}/state", ["user_id"])
 
 
-@register("schema_drift")
+# File layouts of the drift query: folder, share of the orders by key, change.
+DRIFT_EXPECTED = StructType([f for f in bronze_schema("orders", NTZ).fields])
+_DRIFT_OK = ("Op", "_dms_timestamp", "customer_id", "order_date", "updated_at")
+
+
+def _drift_sql() -> str:
+    types = {f.name: f.dataType.simpleString() for f in DRIFT_EXPECTED.fields}
+    n = {k: f"(select count(*) from bronze_orders where order_id % 4 = {k})" for k in range(4)}
+    every = "(select count(*) from bronze_orders)"
+    rows = [(c, types[c], types[c], "ok", 4, every) for c in _DRIFT_OK]
+    rows += [("order_status", "string", "string", "ok", 3, f"{every} - {n[1]}"),
+             ("order_status", "string", None, "missing", 1, n[1]),
+             ("order_id", "int", "int", "ok", 3, f"{every} - {n[2]}"),
+             ("order_id", "int", "string", "retyped", 1, n[2]),
+             ("note", None, "string", "extra", 1, n[3])]
+
+    def q(v):
+        return "cast(null as varchar)" if v is None else f"'{v}'"
+    return "\nunion all\n".join(
+        f"select {q(c)} as column_name, {q(e)} as expected_type, {q(a)} as actual_type, "
+        f"{q(st)} as status, cast({files} as bigint) as files, cast({r} as bigint) as rows"
+        for c, e, a, st, files, r in rows)
+
+
+@register("schema_drift", _with(O.bronze_cte("orders")) + _drift_sql())
 def schema_drift(spark, sf):
-    """Footer schema of a written raw orders log against the declared layout."""
+    """Every file's footer against the declared layout: one complete file, one
+    without a column, one with a retyped column, one with an extra column."""
     root = scratch_dir(spark, "drift")
-    path = _write_raw(spark, sf, root, "orders")
-    return schema_drift_frame(spark, bronze_schema("orders"), footer_schema(spark, path))
+    log = raw(spark, sf, "orders")
+    changes = [lambda d: d, lambda d: d.drop("order_status"),
+               lambda d: d.withColumn("order_id", F.col("order_id").cast(StringType())),
+               lambda d: d.withColumn("note", F.lit("x"))]
+    for k, change in enumerate(changes):
+        # One file per layout, so the file counts are the same everywhere.
+        change(log.filter(F.col("order_id") % 4 == k)).coalesce(1).write.parquet(f"{root}/{k}")
+    return schema_drift_frame(spark, footer_drift(spark, root, DRIFT_EXPECTED))
+
+
+# ---- gates as reports (M3, M5, M6, K6, Q8) -----------------------------------
+
+# A table that no metric was recorded for.
+UNRECORDED = "fact_returns"
+
+
+@register("gate_stale_tables", _FRESHNESS_SQL + f"""
+select w.table_name, f.value, case when f.table_name is null then 'missing' when f.value is null then 'unknown age' else 'stale' end as reason
+from (select unnest([{', '.join(repr(t) for t in (*SILVER_TABLES, UNRECORDED))}]) as table_name) w
+left join freshness f on w.table_name = f.table_name
+where f.table_name is null or f.value is null or f.value > 24""")
+def gate_stale_tables(spark, sf):
+    return stale_tables(_freshness(spark, sf), [*SILVER_TABLES, UNRECORDED])
+
+
+def _conserved_sql() -> str:
+    tables = sorted({t for t, _ in CONSERVED.values()})
+    by = {"mart_revenue_by_method": "method", "mart_failed_payment_rate": "payment_year, payment_month",
+          "mart_delivery_days": "carrier", "mart_delivery_failure": "carrier",
+          "mart_fulfilment": "shipped_year, shipped_month", "mart_product_performance": "product_id",
+          "mart_customer_acquisition": "year(signup_date), month(signup_date), country"}
+    parts = [f"select '{m}' as table_name, (select count(*) from valid_{t}) as upper_rows, "
+             f"(select cast(coalesce(sum(n), 0) as bigint) from (select count(*) as n from valid_{t} group by {by[m]})) as lower_rows"
+             for m, (t, _) in CONSERVED.items()]
+    return (_valid_sql(*tables) + ", c as (" + "\nunion all\n".join(parts) + ")\n"
+            "select table_name, upper_rows, lower_rows, "
+            "round(case when upper_rows > 0 then abs(upper_rows - lower_rows) / upper_rows end, 6) as divergence, "
+            "coalesce(abs(upper_rows - lower_rows) / upper_rows > 0.05, false) as exceeds from c")
+
+
+@register("gold_vs_silver_counts", _conserved_sql())
+def gold_vs_silver_counts(spark, sf):
+    pay, ship = valid(spark, sf, "fact_payments"), valid(spark, sf, "fact_shipments")
+    items, cust = valid(spark, sf, "fact_order_items"), valid(spark, sf, "dim_customer")
+    frames = {"fact_payments": pay, "fact_shipments": ship, "fact_order_items": items, "dim_customer": cust}
+    published = _union_all([f.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
+                            for t, f in frames.items()])
+    built = {
+        "mart_revenue_by_method": marts.revenue_by_method(pay),
+        "mart_failed_payment_rate": marts.failed_payment_rate(pay),
+        "mart_delivery_days": marts.delivery_days_by_carrier(ship),
+        "mart_delivery_failure": marts.delivery_failure_rate(ship),
+        "mart_fulfilment": marts.fulfilment_by_month(ship),
+        "mart_product_performance": marts.product_performance(items, valid(spark, sf, "dim_product")),
+        "mart_customer_acquisition": marts.customer_acquisition(cust),
+    }
+    rep = layer_divergence(expected_by_marts(published, built), counted_by_marts(built))
+    return rep.withColumn("divergence", F.round("divergence", 6))
+
+
+_METRICS_TABLE = "dim_product"
+
+
+@register("roundtrip_metrics", _ctes([_METRICS_TABLE]) + f"""
+select 'changelake/freshness' as namespace, 'silver_data_age_hours' as metric_name, '{_METRICS_TABLE}' as table_name, 'dev' as environment,
+  round((epoch_us(timestamp '2026-03-02 23:59:59') - epoch_us(cast(max(_dms_timestamp) as timestamp))) / 3.6e9, 6) as value, 'Count' as unit
+from bronze_products
+union all
+select 'changelake/quality', 'silver_row_count', '{_METRICS_TABLE}', 'dev',
+  cast(count(*) filter (where _validation_errors is null) as double), 'Count' from annotated_{_METRICS_TABLE}""")
+def roundtrip_metrics(spark, sf):
+    """Metric rows of a run that was retried: written twice, there once."""
+    root = scratch_dir(spark, "metrics")
+    cfg = RunConfig(Paths.under(root), run_id="r1", environment=ENVIRONMENT, metrics_path=f"{root}/metrics")
+    for _ in range(2):
+        run_table(spark, FIXTURE_SPECS[_METRICS_TABLE], cfg, raw=raw(spark, sf, "products"),
+                  parent_specs=FIXTURE_SPECS)
+    return (read_metrics(spark, cfg.metrics_path).drop("recorded_at", "run_id")
+            .withColumn("value", F.round("value", 6)))
+
+
+# Smallest and largest row counts; the last two cannot hold.
+EXPECTED_ROWS = {"dim_customer": (1, None), "dim_product": (1, 10_000_000_000),
+                 "fact_orders": (None, 1), "fact_returns": (1, None)}
+
+
+def _expected_sql() -> str:
+    def n(v):
+        return "cast(null as bigint)" if v is None else f"cast({v} as bigint)"
+    want = " union all ".join(f"select '{t}' as table_name, {n(lo)} as min_rows, {n(hi)} as max_rows"
+                              for t, (lo, hi) in EXPECTED_ROWS.items())
+    return (_ctes(SILVER_TABLES) + ", counts as (" + _COUNTS_SQL + f"), want as ({want})\n"
+            "select w.table_name, c.valid_rows as rows, w.min_rows, w.max_rows, "
+            "c.valid_rows is not null and (w.min_rows is null or c.valid_rows >= w.min_rows) "
+            "and (w.max_rows is null or c.valid_rows <= w.max_rows) as passed "
+            "from want w left join counts c on w.table_name = c.table_name")
+
+
+@register("row_count_expectations", _expected_sql())
+def row_count_expectations(spark, sf):
+    counts = _table_counts(spark, sf).select("table_name", F.col("valid_rows").alias("rows"))
+    return dq.row_count_expectations(counts, EXPECTED_ROWS)

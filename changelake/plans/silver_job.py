@@ -3,7 +3,8 @@ write valid rows and quarantine -> metrics.
 
 Cost model: the raw log is scanned once. Its newest capture time and row count
 are taken with ``observe`` on the way through the main plan (no separate
-``max`` job), and so are the valid/quarantined counts. The two writes share
+``max`` job); the valid/quarantined counts are read off the materialized frame,
+one narrow column of it. The two writes share
 one computation of the annotated frame, materialized one of two ways:
 
 * ``materialize="table"`` (default): written once as a staging table under the
@@ -29,7 +30,8 @@ from pyspark.sql.types import DataType
 from ..config import RunConfig
 from ..operators.quality import ERRORS_COL, annotate, invalid_rows, valid_rows
 from ..schemas import CAPTURE_TS_COL, bronze_schema
-from ..sinks.parquet import append_metrics, register_table, write_quarantine, write_silver
+from ..sinks.parquet import (delete_folder, publish_version, record_metrics, register_table, version_path,
+                             write_quarantine, write_silver)
 from ..session import checkpoint_root
 from ..sources.bronze import read_bronze
 from .metrics import freshness_metrics, require_rows, row_count_metrics
@@ -48,86 +50,99 @@ class TableRun:
     metrics: DataFrame
 
 
-def _observed(obs: Observation) -> dict:
-    """Observed values, or ``{}`` when Catalyst proved the input empty and
-    removed the observed plan altogether."""
+def _observed(obs: Observation, rows_out: int) -> dict:
+    """Observed values. Catalyst may prove an input empty and remove the
+    observed plan altogether; only then is a missing observation no fault."""
     try:
         return obs.get
-    except Exception:  # noqa: BLE001 -- an empty, never-filled observation
+    except Exception:
+        if rows_out:
+            raise
         return {}
 
 
+def _counts(annotated: DataFrame) -> tuple[int, int]:
+    """(valid, quarantined) rows of a materialized annotated frame."""
+    r = annotated.agg(F.count_if(F.col(ERRORS_COL).isNull()), F.count_if(F.col(ERRORS_COL).isNotNull())).first()
+    return int(r[0]), int(r[1])
+
+
 def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
               raw: DataFrame | None = None, raw_parents: Mapping[str, DataFrame] | None = None,
               parent_specs: Mapping[str, TableSpec] = SPECS, timestamp_type: DataType | None = None,
               order_as: str = "string", null_keys: str = "group",
-              broadcast_parent: bool | int = False, register: bool = False,
-              materialize: str = "table", publish: str = "overwrite") -> TableRun:
+              register: bool = False, materialize: str = "table", publish: str = "versioned",
+              check_schema: str = "error") -> TableRun:
+    """``check_schema``: what to do when files that the job reads itself lack a
+    column or hold one of another type (``error``, ``warn`` or ``off``)."""
     paths = config.paths
+
+    def read(source: str) -> DataFrame:
+        return read_bronze(spark, paths.bronze_table(source), bronze_schema(source, timestamp_type),
+                           check_schema=check_schema)
+
     if raw is None:
-        raw = read_bronze(spark, paths.bronze_table(spec.source),
-                          bronze_schema(spec.source, timestamp_type))
+        raw = read(spec.source)
     if raw_parents is None:
-        raw_parents = {p: read_bronze(spark, paths.bronze_table(p), bronze_schema(p, timestamp_type))
-                       for p in spec.parents}
+        raw_parents = {p: read(p) for p in spec.parents}
 
     tag = uuid.uuid4().hex[:8]
     raw_obs = Observation(f"raw_{spec.name}_{tag}")
     observed_raw = raw.observe(raw_obs, F.max(CAPTURE_TS_COL).alias("max_capture_ts"),
                                F.count(F.lit(1)).alias("raw_rows"))
     silver = silver_frame(spec, observed_raw, raw_parents, parent_specs, order_as=order_as,
-                          null_keys=null_keys, broadcast_parent=broadcast_parent)
-
-    out_obs = Observation(f"out_{spec.name}_{tag}")
-    annotated = annotate(silver, spec.rules).observe(
-        out_obs,
-        F.count_if(F.col(ERRORS_COL).isNull()).alias("valid_rows"),
-        F.count_if(F.col(ERRORS_COL).isNotNull()).alias("quarantined_rows"))
+                          null_keys=null_keys)
+    annotated = annotate(silver, spec.rules)
     quarantine_path = paths.quarantine_table(spec.name)
     if publish == "overwrite":
         silver_path = paths.silver_table(spec.name)
     elif publish == "versioned":
         # Each run writes its own folder; readers see the new data only when
-        # the catalog entry is re-pointed after a successful write, so a crash
-        # mid-write never leaves a half-written table behind the name.
-        silver_path = f"{paths.silver_table(spec.name)}/_versions/run_id={config.run_id}"
-        register = True
+        # the pointer moves after a successful write, so a crash mid-write
+        # never leaves a half-written table behind.
+        silver_path = version_path(paths.silver_table(spec.name), config.run_id)
     else:
         raise ValueError("publish must be 'overwrite' or 'versioned'")
     if materialize == "table":
-        # One staging copy per table (overwritten by the next run), so the
-        # shared folder does not grow with the number of runs.
-        stage_path = f"{checkpoint_root(spark)}/stage/{spec.name}"
-        annotated.write.mode("overwrite").parquet(stage_path)   # fills both observations
-        staged = spark.read.schema(annotated.schema).parquet(stage_path)
-        write_quarantine(invalid_rows(staged), quarantine_path, config.run_id)
-        write_silver(valid_rows(staged), silver_path, spec.partition_by)
+        # The staging copy belongs to this run alone and goes with it.
+        stage_path = f"{checkpoint_root(spark)}/stage/{config.environment}/{config.run_id}/{spec.name}"
+        try:
+            annotated.write.mode("overwrite").parquet(stage_path)   # fills the observation
+            staged = spark.read.schema(annotated.schema).parquet(stage_path)
+            valid_n, bad_n = _counts(staged)
+            write_quarantine(invalid_rows(staged), quarantine_path, config.run_id)
+            write_silver(valid_rows(staged), silver_path, spec.partition_by)
+        finally:
+            delete_folder(spark, stage_path)
     elif materialize == "persist":
         cached = annotated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # The first write materializes the cache and fills both observations.
+            valid_n, bad_n = _counts(cached)   # fills the cache and the observation
             write_quarantine(invalid_rows(cached), quarantine_path, config.run_id)
             write_silver(valid_rows(cached), silver_path, spec.partition_by)
         finally:
             cached.unpersist()
     else:
         raise ValueError("materialize must be 'table' or 'persist'")
-    raw_stats, out_stats = _observed(raw_obs), _observed(out_obs)
-
-    valid_n = int(out_stats.get("valid_rows", 0))
+    # A task that Spark runs again may add its rows to raw_rows twice; the
+    # newest time and the counts of the outputs cannot be affected.
+    raw_stats = _observed(raw_obs, valid_n + bad_n)
+    if publish == "versioned":
+        publish_version(spark, paths.silver_table(spec.name), config.run_id)
     max_ts = raw_stats.get("max_capture_ts")
     small = spark.createDataFrame([(spec.name, max_ts, valid_n)],
                                   "table_name string, max_capture_ts string, rows bigint")
     metrics = freshness_metrics(small, config.environment, config.reference_time).unionByName(
         row_count_metrics(small, config.environment))
     if config.metrics_path:
-        append_metrics(metrics.withColumn("run_id", F.lit(config.run_id)), config.metrics_path)
+        record_metrics(metrics, config.metrics_path, config.run_id)
     if register:
-        register_table(spark, spec.name, silver_path, spec.partition_by)
+        register_table(spark, spec.name, silver_path, valid_rows(annotated).schema, spec.partition_by,
+                       version=config.run_id)
     if config.fail_on_empty:
         require_rows(spec.name, valid_n)
     return TableRun(spec.name, silver_path, quarantine_path, int(raw_stats.get("raw_rows", 0)),
-                    max_ts, valid_n, int(out_stats.get("quarantined_rows", 0)), metrics)
+                    max_ts, valid_n, bad_n, metrics)
 
 
 def run_all(spark: SparkSession, config: RunConfig, specs: Mapping[str, TableSpec] = SPECS,
@@ -150,14 +165,22 @@ def validate(df: DataFrame, rules, quarantine_path: str, table_name: str,
     Writes the failing rows (with ``_validation_errors``) to
     ``{quarantine_path}/{table_name}`` under ``run_id=...`` and returns the
     valid rows. The annotated frame stays persisted so the caller's write of
-    the returned rows does not recompute it; release it with
-    ``spark.catalog.clearCache()`` afterwards (``run_table`` manages all of
-    this itself). With no rules the input is returned unchanged and nothing
-    is written.
+    the returned rows does not recompute it; ``release(returned)`` frees it
+    (``run_table`` manages all of this itself). With no rules the input is
+    returned unchanged and nothing is written.
     """
     if not rules:
         return df
     annotated = annotate(df, rules).persist(StorageLevel.MEMORY_AND_DISK)
     run = run_id or uuid.uuid4().hex[:12]
     write_quarantine(invalid_rows(annotated), f"{quarantine_path.rstrip('/')}/{table_name}", run)
-    return valid_rows(annotated)
+    out = valid_rows(annotated)
+    out._cached_source = annotated
+    return out
+
+
+def release(validated: DataFrame) -> None:
+    """Free the frame that ``validate`` keeps for the rows it returned."""
+    cached = getattr(validated, "_cached_source", None)
+    if cached is not None:
+        cached.unpersist()

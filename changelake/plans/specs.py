@@ -16,7 +16,7 @@ from ..functions.timefmt import calendar_days, month_of, year_of
 from ..operators.cdc import reconcile
 from ..operators.joins import attach_parent
 
-# (live rows, live parents, **options such as broadcast_parent) -> Silver columns
+# (live rows, live parents) -> Silver columns
 Projector = Callable[..., DataFrame]
 
 
@@ -36,41 +36,40 @@ class TableSpec:
         return replace(self, **changes)
 
 
-# ---- projections -----------------------------------------------------------
+# ---- projections (fixed values: output columns and their order) -----------------------------------------------------------
 
-def _dim_customer(live: DataFrame, _parents, **_opts) -> DataFrame:
+def _dim_customer(live: DataFrame, _parents) -> DataFrame:
     return live.select("customer_id", "first_name", "last_name", "email", "country", "phone",
                        "signup_date")
 
 
-def _dim_product(live: DataFrame, _parents, **_opts) -> DataFrame:
+def _dim_product(live: DataFrame, _parents) -> DataFrame:
     return live.select("product_id", "name", "category", "brand", "unit_price", "stock_qty")
 
 
-def _fact_orders(live: DataFrame, _parents, **_opts) -> DataFrame:
+def _fact_orders(live: DataFrame, _parents) -> DataFrame:
     return live.select("order_id", "customer_id", "order_date", "order_status",
                        year_of("order_date").alias("order_year"),
                        month_of("order_date").alias("order_month"))
 
 
-def _fact_order_items(live: DataFrame, parents: Mapping[str, DataFrame],
-                      broadcast_parent: bool | int = False, **_opts) -> DataFrame:
+def _fact_order_items(live: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
     items = live.select("order_item_id", "order_id", "product_id", "quantity", "unit_price",
                         "line_total")
-    joined = attach_parent(items, parents["orders"], on="order_id", broadcast=broadcast_parent)
+    joined = attach_parent(items, parents["orders"], on="order_id")
     return joined.select("order_item_id", "order_id", "product_id", "quantity", "unit_price",
                          "line_total",
                          year_of("order_date").alias("order_year"),
                          month_of("order_date").alias("order_month"))
 
 
-def _fact_payments(live: DataFrame, _parents, **_opts) -> DataFrame:
+def _fact_payments(live: DataFrame, _parents) -> DataFrame:
     return live.select("payment_id", "order_id", "method", "amount", "status", "payment_date",
                        year_of("payment_date").alias("payment_year"),
                        month_of("payment_date").alias("payment_month"))
 
 
-def _fact_shipments(live: DataFrame, _parents, **_opts) -> DataFrame:
+def _fact_shipments(live: DataFrame, _parents) -> DataFrame:
     return live.select("shipment_id", "order_id", "carrier", "delivery_status", "shipped_date",
                        "delivered_date",
                        calendar_days("delivered_date", "shipped_date").alias("delivery_days"),
@@ -189,8 +188,7 @@ def live_parent(spec: TableSpec, parent: str, raw_parent: DataFrame,
 
 def silver_frame(spec: TableSpec, raw: DataFrame, raw_parents: Mapping[str, DataFrame] | None = None,
                  parent_specs: Mapping[str, TableSpec] | None = None, *,
-                 order_as: str = "string", null_keys: str = "group",
-                 broadcast_parent: bool | int = False) -> DataFrame:
+                 order_as: str = "string", null_keys: str = "group") -> DataFrame:
     """Raw change log -> projected Silver rows (before validation)."""
     live = reconcile(raw, spec.keys, tie_breakers=spec.tie_breakers, order_as=order_as,
                      null_keys=null_keys)
@@ -198,15 +196,7 @@ def silver_frame(spec: TableSpec, raw: DataFrame, raw_parents: Mapping[str, Data
     by_source = {s.source: s for s in (parent_specs or {}).values()}
     for p in spec.parents:
         parents[p] = live_parent(spec, p, (raw_parents or {})[p], by_source.get(p))
-    return spec.project(live, parents, broadcast_parent=broadcast_parent)
+    return spec.project(live, parents)
 
 
-def spec_for_source(source: str, specs: Mapping[str, TableSpec] = SPECS) -> TableSpec:
-    for s in specs.values():
-        if s.source == source:
-            return s
-    raise KeyError(source)
-
-
-__all__ = ["TableSpec", "SPECS", "FIXTURE_SPECS", "SILVER_TABLES", "silver_frame",
-           "live_parent", "spec_for_source"]
+__all__ = ["TableSpec", "SPECS", "FIXTURE_SPECS", "SILVER_TABLES", "silver_frame", "live_parent"]

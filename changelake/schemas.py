@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     DataType,
     DecimalType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -63,7 +64,8 @@ _LAYOUTS: dict[str, list[tuple[str, object, bool]]] = {
         ("updated_at", "ts", True),
     ],
     "order_items": [
-        ("order_item_id", IntegerType(), True),
+        # Wider than the source's int, which would overflow; int32 files read as well.
+        ("order_item_id", LongType(), True),
         ("order_id", IntegerType(), True),
         ("product_id", IntegerType(), True),
         ("quantity", IntegerType(), True),
@@ -114,7 +116,3 @@ def bronze_schema(table: str, timestamp_type: DataType | None = None,
         fields.append(StructField(name, ts_type if dtype == "ts" else dtype, nullable=not not_null))
     return StructType(fields + list(extra or []))
 
-
-def declared_not_null(table: str) -> list[str]:
-    """Columns the source declares NOT NULL (to be turned into rules)."""
-    return [name for name, _, not_null in _LAYOUTS[table] if not_null]

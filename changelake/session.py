@@ -11,9 +11,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Defaults applied by ``build_session``; anything the caller already set wins.
+# Defaults applied by ``build_session`` where neither the cluster's defaults,
+# nor ``--conf``, nor a running session has set a value; explicit arguments of
+# ``build_session`` always apply.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -45,7 +48,15 @@ def build_session(master: str | None = None, app_name: str = "changelake",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    active = SparkSession.getActiveSession()
+    given = SparkConf()   # spark-defaults.conf, --conf, earlier builder settings
+
+    def unset(key: str) -> bool:
+        if active is not None and active.conf.get(key, None) is not None:
+            return False
+        return not given.contains(key)
+
+    conf = {k: v for k, v in DEFAULT_CONF.items() if unset(k)}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

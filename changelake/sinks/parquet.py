@@ -1,25 +1,35 @@
 """Writing Silver, quarantine and metric tables.
 
-* Silver: full overwrite. Partitioned facts are rebalanced on their partition
-  columns first (``REBALANCE`` hint, which AQE sizes) so each task writes few
-  partition folders -- without it every task may touch every month and the
-  table fills with tiny files. NULL partition values are rejected upstream by
-  validation rules, so no ``__HIVE_DEFAULT_PARTITION__`` folder appears.
-* Quarantine: partitioned by ``run_id``; a re-run of the same run replaces only
-  its own partition (dynamic partition overwrite), earlier runs stay.
-* Metrics: appended, one row per metric point.
+* Silver: partitioned facts are rebalanced on their partition columns first
+  (``REBALANCE`` hint, which AQE sizes) so each task writes few partition
+  folders -- without it every task may touch every month and the table fills
+  with tiny files. NULL partition values are rejected upstream by validation
+  rules, so no ``__HIVE_DEFAULT_PARTITION__`` folder appears. A versioned table
+  keeps each run in ``_versions/run_id=...``; ``_versions/CURRENT`` names the one
+  that readers see and is replaced by one rename.
+* Quarantine and metrics: every run writes its own ``run_id=...`` folder by plain
+  overwrite, so a re-run replaces exactly its own rows, also when it has none.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampType
 
 RUN_ID_COL = "run_id"
 
+METRICS_SCHEMA = StructType([
+    StructField("namespace", StringType()), StructField("metric_name", StringType()),
+    StructField("table_name", StringType()), StructField("environment", StringType()),
+    StructField("value", DoubleType()), StructField("unit", StringType()),
+    StructField("recorded_at", TimestampType()), StructField(RUN_ID_COL, StringType()),
+    StructField("part", StringType()),
+])
+
 
 def write_silver(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                  mode: str = "overwrite") -> None:
@@ -31,35 +41,118 @@ def write_silver(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def write_quarantine(df: DataFrame, path: str, run_id: str) -> None:
-    (df.withColumn(RUN_ID_COL, F.lit(run_id))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(RUN_ID_COL)
-       .parquet(path))
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RUN_ID_COL}={run_id}")
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read a written table back. An empty partitioned table holds only
-    ``_SUCCESS``; give the schema to read it as zero rows."""
+    """Read a written table back: a versioned one at its current version. An
+    empty partitioned table holds only ``_SUCCESS``; give the schema to read it
+    as zero rows."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(current_path(spark, path))
+
+
+# ---- versions ----------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: written beside it, then renamed over it."""
+    fs, p = _fs(spark, path)
+    tmp = p.suffix(".next")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        p.toUri() if p.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(
+        spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def version_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/_versions/{RUN_ID_COL}={run_id}"
+
+
+def publish_version(spark: SparkSession, root: str, run_id: str, keep: int = 2) -> None:
+    """Make a written version the current one and drop older ones but ``keep``."""
+    folder = f"{root.rstrip('/')}/_versions"
+    put_text(spark, f"{folder}/CURRENT", run_id)
+    fs, p = _fs(spark, folder)
+    old = sorted(((s.getModificationTime(), s.getPath().toString()) for s in fs.listStatus(p) if s.isDirectory()),
+                 reverse=True)
+    others = [path for _, path in old if not path.endswith(f"/{RUN_ID_COL}={run_id}")]
+    for path in others[max(keep - 1, 0):]:
+        delete_folder(spark, path)
+
+
+def current_path(spark: SparkSession, root: str) -> str:
+    """Folder of the current version, or ``root`` itself for a plain table."""
+    run_id = get_text(spark, f"{root.rstrip('/')}/_versions/CURRENT")
+    return version_path(root, run_id) if run_id else root
+
+
+# ---- metrics -----------------------------------------------------------------
+
+def record_metrics(df: DataFrame, path: str, run_id: str) -> None:
+    """Metric rows of one run and table; a retry replaces them."""
+    for name in [r[0] for r in df.select("metric_name").distinct().collect()]:  # a few per table
+        one = df.filter(F.col("metric_name") == name)
+        table = one.select("table_name").first()[0]
+        (one.drop(RUN_ID_COL).withColumn("recorded_at", F.current_timestamp())
+         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RUN_ID_COL}={run_id}/part={table}-{name}"))
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METRICS_SCHEMA).parquet(path).drop("part")
+
+
+# ---- catalog -----------------------------------------------------------------
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def append_metrics(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
 
+def register_table(spark: SparkSession, name: str, path: str, schema: StructType | None = None,
+                   partition_by: Sequence[str] = (), version: str = "0") -> None:
+    """Catalog entry ``name`` for the table written at ``path``.
 
-def register_table(spark: SparkSession, name: str, path: str,
-                   partition_by: Sequence[str] = ()) -> None:
-    """Catalog entry for a written table (dropped and re-created so it always
-    points at ``path``); partitioned tables get their folders discovered."""
-    q = "`" + name.replace("`", "``") + "`"
-    loc = path.replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {q}")
-    # Schema and partition columns are inferred from the folder layout.
-    spark.sql(f"CREATE TABLE {q} USING parquet LOCATION '{loc}'")
+    The entry is a view on a table per version, replaced in one step, so readers
+    always find one or the other. The schema is given (or read from the files),
+    so an empty partitioned table registers as well.
+    """
+    schema = schema or spark.read.parquet(path).schema
+    table = _quoted(f"{name}__{re.sub('[^0-9a-zA-Z]', '_', version).lower()}")
+    columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f"PARTITIONED BY ({', '.join(map(_quoted, partition_by))})" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts} LOCATION '{path.replace(chr(39), chr(92) + chr(39))}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {q}")
-    spark.catalog.refreshTable(name)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {table}")
+    own = table.strip("`")
+    for other in spark.catalog.listTables(pattern=f"{name}__*"):
+        if other.name != own and other.tableType != "VIEW":
+            spark.sql(f"DROP TABLE IF EXISTS {_quoted(other.name)}")

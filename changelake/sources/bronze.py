@@ -6,13 +6,15 @@ only lists the top level, so the reader always walks the tree
 (``recursiveFileLookup``) and only takes ``*.parquet`` files (``_SUCCESS``
 markers and other droppings are skipped).
 
-Files are read under an explicit schema; ``check_schema`` compares the file
-footers with that schema first, because a missing column would otherwise read
-silently as NULL.
+Files are read under an explicit schema; ``check_schema`` compares every file's
+footer with that schema first, because a column missing from some files would
+otherwise read silently as NULL.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,8 +27,8 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType, *,
                 check_schema: str = "off") -> DataFrame:
     """Typed scan of one raw table directory (all nested files).
 
-    ``check_schema``: ``off`` | ``warn`` | ``error`` -- compare the footers'
-    merged schema with ``schema`` before reading.
+    ``check_schema``: ``off`` | ``warn`` | ``error`` -- compare each file's
+    layout with ``schema`` before reading.
     """
     reader = spark.read.schema(schema)
     if recursive:
@@ -44,38 +46,58 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType, *,
     return reader.parquet(path)
 
 
-def footer_schema(spark: SparkSession, path: str, *, recursive: bool = True,
-                  glob: str = "*.parquet") -> StructType:
-    """Merged schema of every file's footer (read in parallel by Spark)."""
-    reader = spark.read.option("mergeSchema", "true")
+def file_schemas(spark: SparkSession, path: str, *, recursive: bool = True,
+                 glob: str = "*.parquet") -> DataFrame:
+    """(schema, files, rows): the distinct file layouts under ``path``, as JSON,
+    with how many files and rows have each.
+
+    Executors list the files and read one footer each; only the distinct layouts
+    ever reach the driver. Where a file system can only be read through Spark,
+    the executors get the file's bytes instead.
+    """
+    reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path).schema
+    files = reader.load(path)
+    direct = path.split("://")[0] in ("file", "hdfs", "s3", "gs") or "://" not in path
+    files = files.select("path") if direct else files.select("path", "content")
+    return (files.mapInPandas(_read_footers, "schema string, rows bigint").groupBy("schema")
+            .agg(F.count("*").alias("files"), F.sum("rows").alias("rows")))
+
+
+def _read_footers(batches):
+    import io
+
+    import pandas as pd
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    for pdf in batches:
+        out = []
+        for i, name in enumerate(pdf["path"]):
+            if "content" in pdf:
+                source, fs = io.BytesIO(pdf["content"].iloc[i]), None
+            else:
+                fs, source = pafs.FileSystem.from_uri(name.replace("file:/", "file:///") if not name.startswith(
+                    "file:///") and name.startswith("file:/") else name)
+            f = pq.ParquetFile(source, filesystem=fs) if fs else pq.ParquetFile(source)
+            out.append((from_arrow_schema(f.schema_arrow).json(), f.metadata.num_rows))
+        yield pd.DataFrame(out, columns=["schema", "rows"])
 
 
 def footer_drift(spark: SparkSession, path: str, expected: StructType, **kw) -> list[dict]:
-    return schema_drift_rows(expected, footer_schema(spark, path, **kw))
-
-
-def write_change_log(df: DataFrame, root: str, *, date_col: str = "updated_at",
-                     load_op: str = "I", folders: str = "day") -> None:
-    """Lay a change log out on disk the way the capture process does: insert
-    rows (``Op = load_op``) as full-load files at the top level, every other
-    row in dated sub-folders by ``date_col`` (``folders``: ``day`` gives
-    ``y=YYYY/m=MM/d=DD``, ``month`` gives ``y=YYYY/m=MM``). Rows are rebalanced
-    on the folder columns first, so each folder receives few files instead of
-    one per writing task. Used to build raw tables from derived logs."""
-    is_load = F.col("Op") == F.lit(load_op)
-    d = F.col(date_col)
-    parts = {"y": F.date_format(d, "yyyy"), "m": F.date_format(d, "MM")}
-    if folders == "day":
-        parts["d"] = F.date_format(d, "dd")
-    elif folders != "month":
-        raise ValueError("folders must be 'day' or 'month'")
-    df.filter(is_load).write.mode("overwrite").parquet(root)
-    (df.filter(~is_load | F.col("Op").isNull())
-       .withColumns(parts)
-       .hint("rebalance", *parts)
-       .write.mode("overwrite").partitionBy(*parts).parquet(f"{root}/cdc"))
+    """Drift rows over all file layouts: (column_name, expected_type,
+    actual_type, status, files, rows), one per column and way of drifting."""
+    total: dict[tuple, list[int]] = {}
+    for layout in file_schemas(spark, path, **kw).collect():   # distinct layouts, not files
+        actual = StructType.fromJson(json.loads(layout["schema"]))
+        for r in schema_drift_rows(expected, actual):
+            key = (r["column_name"], r["expected_type"], r["actual_type"], r["status"])
+            seen = total.setdefault(key, [0, 0])
+            seen[0] += layout["files"]
+            seen[1] += layout["rows"]
+    names = ("column_name", "expected_type", "actual_type", "status", "files", "rows")
+    return [dict(zip(names, (*k, *v))) for k, v in sorted(total.items(), key=str)]

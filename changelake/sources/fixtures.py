@@ -26,20 +26,9 @@ def _base_ts() -> Column:
     return F.to_timestamp_ntz(F.lit(BASE_TS))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One driver table (``{sf_dir}/{name}.parquet``).
-
-    A file written as a single row group is one scan split however large it
-    is, which would leave the per-row version derivation on one core. Such
-    under-split scans are hash-spread on the table key (its first column)
-    across the cluster's default parallelism; a scan that already has that
-    many splits is left alone (no extra shuffle at scale). Fixed-size lookup
-    tables pass ``spread=False``."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want, df.columns[0])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (``{sf_dir}/{name}.parquet``), split as its files are."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _versions(df: DataFrame, versions: list[tuple[Column | None, dict[str, Column]]],
@@ -81,7 +70,8 @@ def bronze_orders(spark: SparkSession, sf_dir: str, columns: list[str] | None =
         (None, version("I", 0, od, status0)),
         (k % 3 == 0, version("U", 1, od, F.lit("shipped"))),
         (k % 5 == 0, version("U", 2, F.when(k % 35 != 0, od),
-                             F.when(k % 50 != 0, F.lit("delivered")))),
+                             F.when(k % 50 == 0, F.lit(None)).when(k % 45 == 0, "misplaced")
+                             .otherwise("delivered"))),
         (k % 11 == 0, version("D", 3, od, F.lit("cancelled"))),
     ], columns)
 
@@ -124,10 +114,11 @@ def bronze_shipments(spark: SparkSession, sf_dir: str, columns: list[str] | None
         k.cast("int").alias("shipment_id"),
         k.cast("int").alias("order_id"),
         carrier.alias("carrier"),
-        F.when(k % 4 == 0, "in_transit").otherwise("delivered").alias("delivery_status"),
+        F.when(k % 4 == 0, "in_transit").when(k % 13 == 0, "failed").otherwise("delivered")
+        .alias("delivery_status"),
         F.when(k % 37 != 0, plus_days(od, 1)).alias("shipped_date"),
         F.when(k % 4 == 0, F.lit(None)).when(k % 9 == 0, plus_days(od, -1))
-        .otherwise(plus_days(od, 5)).alias("delivered_date"),
+        .otherwise(plus_days(od, (F.lit(3) + k % 7).cast("int"))).alias("delivered_date"),
         plus_days(od, 1).alias("updated_at"),
     )
 
@@ -145,7 +136,7 @@ def bronze_order_items(spark: SparkSession, sf_dir: str, columns: list[str] | No
         capture_ts_string(F.col("l_shipdate")).alias("_dms_timestamp"),
         ok.cast("int").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
-        (ok * 10 + F.col("l_linenumber")).cast("int").alias("order_item_id"),
+        (ok * 10 + F.col("l_linenumber")).cast("bigint").alias("order_item_id"),
         pk.cast("int").alias("product_id"),
         F.col("l_suppkey").cast("int").alias("supplier_id"),
         F.when(pk % 71 == 0, F.lit(0)).otherwise(qty).alias("quantity"),
@@ -185,10 +176,10 @@ def bronze_products(spark: SparkSession, sf_dir: str, columns: list[str] | None
 
 def bronze_customers(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = table(spark, sf_dir, "nation", spread=False).select("n_nationkey", "n_name")
-    # nation is the fixed 25-row dimension; Spark's size-checked automatic
-    # broadcast picks it up without a hint.
-    cn = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # nation has 25 rows at every scale; shuffling customers on 25 key values
+    # would leave at most 25 tasks with rows.
+    cn = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner")
     k = F.col("c_custkey")
     day0 = k % 365
 
@@ -240,3 +231,25 @@ def bronze(spark: SparkSession, sf_dir: str, source: str,
     logs are plain projections and prune either way)."""
     df = BRONZE_BUILDERS[source](spark, sf_dir, columns)
     return df.select(*columns) if columns else df
+
+
+def write_change_log(df: DataFrame, root: str, *, date_col: str = "updated_at",
+                     load_op: str = "I", folders: str = "day") -> None:
+    """Lay a change log out on disk the way the capture process does: insert
+    rows (``Op = load_op``) as full-load files at the top level, every other
+    row in dated sub-folders by ``date_col`` (``folders``: ``day`` gives
+    ``y=YYYY/m=MM/d=DD``, ``month`` gives ``y=YYYY/m=MM``). Rows are rebalanced
+    on the folder columns first, so each folder receives few files instead of
+    one per writing task. Used to build raw tables from derived logs."""
+    is_load = F.col("Op") == F.lit(load_op)
+    d = F.col(date_col)
+    parts = {"y": F.date_format(d, "yyyy"), "m": F.date_format(d, "MM")}
+    if folders == "day":
+        parts["d"] = F.date_format(d, "dd")
+    elif folders != "month":
+        raise ValueError("folders must be 'day' or 'month'")
+    df.filter(is_load).write.mode("overwrite").parquet(root)
+    (df.filter(~is_load | F.col("Op").isNull())
+       .withColumns(parts)
+       .hint("rebalance", *parts)
+       .write.mode("overwrite").partitionBy(*parts).parquet(f"{root}/cdc"))

@@ -11,6 +11,11 @@ their newest event; ``foreachBatch`` writes them to ``changes/batch_id=N``,
 overwriting that folder, so a retried batch is idempotent. The current state
 is the newest emitted row per key (highest batch id) minus deletes, which
 equals the batch ``reconcile`` of the whole log.
+
+``compact`` folds the batches so far into one snapshot, publishes it by a
+pointer and removes the batch folders before it: ``current_state`` reads the
+snapshot and only the batches after it, so a read's cost follows the keys and the
+batches since, not the history.
 """
 
 from __future__ import annotations
@@ -22,8 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..functions.timefmt import parse_capture_ts
 from ..operators.cdc import drop_deleted, op_rank
 from ..schemas import CAPTURE_TS_COL, OP_COL
+from ..sinks.parquet import delete_folder, get_text, put_text
 
 BATCH_COL = "batch_id"
 _LATEST = "_latest"
@@ -31,17 +38,20 @@ _LATEST = "_latest"
 
 def latest_event_aggregate(events: DataFrame, keys: Sequence[str], *,
                            ts_col: str = CAPTURE_TS_COL, op_col: str = OP_COL,
-                           tie_breakers: Sequence[str] = ()) -> DataFrame:
+                           tie_breakers: Sequence[str] = (), order_as: str = "string") -> DataFrame:
     """Newest event per key as a (streaming or batch) aggregate.
 
-    The struct compares field by field: capture time, tie breakers, operation
-    rank -- the same order as the batch window (NULLs compare lowest, i.e.
-    lose, matching ``desc nulls last``)."""
+    The struct compares field by field: capture time (as text, or parsed with
+    ``order_as="timestamp"``), operation rank, tie breakers, whole row -- the
+    same order as the batch window (NULLs compare lowest, i.e. lose, matching
+    ``desc nulls last``)."""
     keys = list(keys)
     payload = [c for c in events.columns if c not in keys]
-    order = [F.col(ts_col).alias("_o_ts")]
+    if order_as not in ("string", "timestamp"):
+        raise ValueError("order_as must be 'string' or 'timestamp'")
+    ts = F.col(ts_col) if order_as == "string" else parse_capture_ts(ts_col)
+    order = [ts.alias("_o_ts"), op_rank(op_col).alias("_o_op")]
     order += [F.col(t).alias(f"_o_tb{i}") for i, t in enumerate(tie_breakers)]
-    order += [op_rank(op_col).alias("_o_op")]
     packed = F.struct(*order, F.struct(*payload).alias("_row"))
     agg = events.groupBy(*keys).agg(F.max(packed).alias(_LATEST))
     return agg.select(*keys, *[F.col(f"{_LATEST}._row.{c}").alias(c) for c in payload])
@@ -50,7 +60,8 @@ def latest_event_aggregate(events: DataFrame, keys: Sequence[str], *,
 def start_change_stream(spark: SparkSession, source_path: str, schema: StructType,
                         keys: Sequence[str], state_root: str, *,
                         tie_breakers: Sequence[str] = (), max_files_per_trigger: int | None = None,
-                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                        available_now: bool = True, processing_time: str | None = None,
+                        order_as: str = "string") -> StreamingQuery:
     """Start applying the change files under ``source_path`` to ``state_root``.
 
     ``available_now`` processes everything present and stops (batch-like
@@ -63,7 +74,7 @@ def start_change_stream(spark: SparkSession, source_path: str, schema: StructTyp
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     events = reader.parquet(source_path)
-    latest = latest_event_aggregate(events, keys, tie_breakers=tie_breakers)
+    latest = latest_event_aggregate(events, keys, tie_breakers=tie_breakers, order_as=order_as)
     changes_path = f"{state_root.rstrip('/')}/changes"
 
     def _write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -79,23 +90,49 @@ def start_change_stream(spark: SparkSession, source_path: str, schema: StructTyp
     return writer.start()
 
 
+def _newest_emitted(spark: SparkSession, state_root: str, keys: Sequence[str]) -> DataFrame:
+    """Newest emitted row per key, deletes and ``batch_id`` kept: the snapshot
+    and the batches after it. The batch filter prunes folders."""
+    root = state_root.rstrip("/")
+    upto = get_text(spark, f"{root}/snapshots/CURRENT")
+    changes = spark.read.parquet(f"{root}/changes").withColumn(BATCH_COL, F.col(BATCH_COL).cast("bigint"))
+    if upto is not None:
+        kept = spark.read.parquet(f"{root}/snapshots/upto={upto}")
+        changes = kept.unionByName(changes.filter(F.col(BATCH_COL) > int(upto)).select(*kept.columns))
+    w = Window.partitionBy(*keys).orderBy(F.col(BATCH_COL).desc())
+    return changes.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
 def current_state(spark: SparkSession, state_root: str, keys: Sequence[str], *,
                   keep_capture_cols: bool = False, op_col: str = OP_COL,
                   ts_col: str = CAPTURE_TS_COL) -> DataFrame:
     """Live rows after all applied batches: newest emitted row per key (the
     state store already made it the newest event ever seen), deletes dropped."""
-    changes = spark.read.parquet(f"{state_root.rstrip('/')}/changes")
-    w = Window.partitionBy(*keys).orderBy(F.col(BATCH_COL).desc())
-    latest = (changes.withColumn("_rn", F.row_number().over(w))
-              .filter(F.col("_rn") == 1).drop("_rn", BATCH_COL))
-    live = drop_deleted(latest, op_col)
+    live = drop_deleted(_newest_emitted(spark, state_root, keys).drop(BATCH_COL), op_col)
     return live if keep_capture_cols else live.drop(op_col, ts_col)
 
 
-def compact(spark: SparkSession, state_root: str, keys: Sequence[str], snapshot_path: str) -> None:
-    """Write the current state (tombstones kept) as one snapshot table, so
-    readers need not scan every batch folder."""
-    changes = spark.read.parquet(f"{state_root.rstrip('/')}/changes")
-    w = Window.partitionBy(*keys).orderBy(F.col(BATCH_COL).desc())
-    (changes.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-     .drop("_rn").write.mode("overwrite").parquet(snapshot_path))
+def compact(spark: SparkSession, state_root: str, keys: Sequence[str]) -> int | None:
+    """Fold every batch emitted so far into one snapshot (tombstones kept) and
+    return the last batch in it, or None without batches.
+
+    The snapshot's folder is named after that batch, so doing it again writes
+    the same; readers move over when the pointer is replaced. The folders of the
+    folded batches go, except the last (the folder list must not be empty).
+    """
+    root = state_root.rstrip("/")
+    changes = spark.read.parquet(f"{root}/changes")
+    upto = changes.agg(F.max(F.col(BATCH_COL).cast("bigint"))).first()[0]
+    before = get_text(spark, f"{root}/snapshots/CURRENT")
+    if upto is None or (before is not None and int(before) >= upto):
+        return None if before is None else int(before)
+    old = [r[0] for r in changes.select(BATCH_COL).distinct().collect()]   # batches since the last time
+    newest = _newest_emitted(spark, state_root, keys)
+    newest.write.mode("overwrite").parquet(f"{root}/snapshots/upto={upto}")
+    put_text(spark, f"{root}/snapshots/CURRENT", str(upto))
+    if before is not None:
+        delete_folder(spark, f"{root}/snapshots/upto={before}")
+    for b in old:
+        if int(b) < upto:
+            delete_folder(spark, f"{root}/changes/{BATCH_COL}={b}")
+    return upto

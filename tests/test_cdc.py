@@ -68,10 +68,19 @@ def test_ties_prefer_delete_then_update(spark):
     assert _rows(reconcile(df, "id"), "id", "v") == [(2, "upd")]
 
 
-def test_caller_tie_breakers_come_before_op_rank(spark):
+def test_a_delete_at_the_same_instant_beats_caller_tie_breakers(spark):
     df = spark.createDataFrame([
         ("D", "2024-01-01 00:00:00.000000", 1, "a"), ("U", "2024-01-01 00:00:00.000000", 1, "z")], COLS)
-    assert _rows(reconcile(df, "id", tie_breakers=["v"]), "v") == [("z",)]
+    assert _rows(reconcile(df, "id", tie_breakers=["v"]), "v") == []
+    same = df.withColumn("Op", F.lit("U"))
+    assert _rows(reconcile(same, "id", tie_breakers=["v"]), "v") == [("z",)]
+
+
+def test_full_ties_have_one_winner(spark):
+    rows = [("U", "2024-01-01 00:00:00.000000", 1, v) for v in ("b", None, "c", "a")]
+    for perm in (rows, rows[::-1]):
+        df = spark.createDataFrame(perm, COLS).repartition(3)
+        assert _rows(reconcile(df, "id"), "v") == [("c",)]
 
 
 def test_composite_key(spark):

@@ -13,7 +13,7 @@ from changelake.plans.silver_job import run_all
 from changelake.plans.specs import SPECS
 from changelake.sinks.parquet import read_table
 from changelake.sources import fixtures as fx
-from changelake.sources.bronze import write_change_log
+from changelake.sources.fixtures import write_change_log
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,16 +39,42 @@ def test_cli_runs_silver_tables(spark, bronze_root, capsys):
     assert got["dim_customer"]["valid_rows"] == 130
 
 
-def test_gold_job_builds_marts_and_checks_layers(spark, bronze_root):
-    cfg = RunConfig(Paths.under(bronze_root), run_id="g1",
-                    metrics_path=os.path.join(bronze_root, "metrics"))
-    runs = run_all(spark, cfg, SPECS)
+def _gold_config(root, run_id, **kw):
+    return RunConfig(Paths.under(root), run_id=run_id, environment="dev",
+                     metrics_path=os.path.join(root, "metrics"), **kw)
+
+
+def test_gold_runs_apart_from_silver(spark, bronze_root):
+    from datetime import datetime, timezone
+    then = datetime(2024, 1, 5, tzinfo=timezone.utc)   # a day after the youngest change
+    silver = _gold_config(bronze_root, "s1", reference_time=then)
+    with pytest.raises(Exception):                     # nothing recorded yet
+        run_gold(spark, _gold_config(bronze_root, "g0"), os.path.join(bronze_root, "gold"))
+    runs = run_all(spark, silver, SPECS)
     assert set(runs) == set(SPECS)
-    with pytest.raises(GateError):          # 1990s capture times are stale
-        run_gold(spark, cfg, os.path.join(bronze_root, "gold"))
-    report = run_gold(spark, cfg, os.path.join(bronze_root, "gold"), check_fresh=False)
+    gold = _gold_config(bronze_root, "g1")             # another run id
+    with pytest.raises(GateError, match="stale"):      # 1990s capture times are stale
+        run_gold(spark, gold, os.path.join(bronze_root, "gold"))
+    report = run_gold(spark, gold, os.path.join(bronze_root, "gold"), check_fresh=False)
     rows = {r.table_name: r for r in report.collect()}
-    assert all(not r.exceeds for r in rows.values())
-    assert rows["fact_orders"].upper_rows == rows["fact_orders"].lower_rows == runs["fact_orders"].valid_rows
+    assert all(not r.exceeds and r.upper_rows == r.lower_rows for r in rows.values())
+    assert rows["mart_fulfilment"].upper_rows == runs["fact_shipments"].valid_rows
     for name in MARTS:
         assert read_table(spark, os.path.join(bronze_root, "gold", name)).count() > 0
+
+
+def test_gold_fails_on_missing_metrics_and_on_a_mart_that_loses_rows(spark, bronze_root):
+    from changelake.plans import marts
+    cfg = _gold_config(bronze_root, "s1")
+    run_all(spark, cfg, {"fact_shipments": SPECS["fact_shipments"]})
+    one = {"mart_delivery_days": MARTS["mart_delivery_days"]}
+    gold_root = os.path.join(bronze_root, "gold")
+    with pytest.raises(GateError, match="fact_payments .missing"):
+        run_gold(spark, cfg, gold_root, {**one, "mart_revenue_by_method": MARTS["mart_revenue_by_method"]})
+    assert run_gold(spark, cfg, gold_root, one, check_fresh=False).count() == 1
+    lossy = {"mart_delivery_days": (lambda t: marts.delivery_days_by_carrier(
+        t["fact_shipments"].filter("carrier <> 'DHL'")), ("fact_shipments",))}
+    with pytest.raises(GateError, match="divergence"):
+        run_gold(spark, cfg, gold_root, lossy, check_fresh=False)
+    with pytest.raises(GateError, match="nothing to compare"):   # points too old to count
+        run_gold(spark, cfg, gold_root, one, check_fresh=False, window_hours=0.0)

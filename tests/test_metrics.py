@@ -10,10 +10,30 @@ from changelake.schemas import bronze_schema
 
 
 def test_age_hours(spark):
-    df = spark.createDataFrame([("2026-03-01 23:59:59.000000",), ("2026-03-02T23:59:59",), ("junk",), (None,)], "t string")
+    df = spark.createDataFrame([("2026-03-01 23:59:59.000000",), ("2026-03-02T23:59:59",), ("junk",), (None,),
+                                ("2026-03-02T23:59:59+05:00",), ("2026-03-02 23:59:59Z",)], "t string")
     got = [r.h for r in df.select(age_hours("t").alias("h")).collect()]
     assert got[0] == pytest.approx(24.0) and got[1] == pytest.approx(0.0)
     assert got[2] is None and got[3] is None
+    assert got[4] == pytest.approx(5.0) and got[5] == pytest.approx(0.0)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert [r.h for r in df.select(age_hours("t").alias("h")).collect()] == got
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_unknown_or_missing_age_fails_the_gate(spark):
+    mx = spark.createDataFrame([("a", "not a time"), ("b", "2026-03-02 12:00:00")],
+                               "table_name string, max_capture_ts string")
+    m = freshness_metrics(mx, "dev")
+    assert [r.table_name for r in stale_alerts(m).collect()] == ["a"]
+    with pytest.raises(GateError, match="a"):
+        require_fresh(m)
+    with pytest.raises(GateError, match="c .missing"):
+        require_fresh(m.filter("table_name = 'b'"), required=["b", "c"])
+    require_fresh(m.filter("table_name = 'b'"), required=["b"])
 
 
 def test_freshness_skips_empty_and_alerts(spark):

@@ -35,6 +35,7 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_item_join_reuses_parent_partitioning(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         spec = FIXTURE_SPECS["fact_order_items"]
@@ -46,12 +47,11 @@ def test_item_join_reuses_parent_partitioning(spark):
         assert "SortMergeJoin" in plan
         q = df._jdf.queryExecution().executedPlan().toString()
         # Key exchanges: items window (order_id, line_number), orders window
-        # (order_id), items side of the join (order_id). The under-split
-        # driver files add one spread exchange per scan (on the raw key).
+        # (order_id), items side of the join (order_id); no scan is spread.
         assert q.count("Exchange hashpartitioning(order_id") == 3
-        assert "BroadcastExchange" not in q
+        assert "BroadcastExchange" not in q and q.count("Exchange") == 3
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_whole_stage_codegen_in_fixture_and_validation(spark):
@@ -60,3 +60,14 @@ def test_whole_stage_codegen_in_fixture_and_validation(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "*(" in plan or "WholeStageCodegen" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_fixed_lookup_is_broadcast_not_shuffled(spark):
+    plan = _plan(registry.QUERIES["silver_dim_customer"](spark, SF))
+    assert "BroadcastExchange" in plan and "hashpartitioning(c_nationkey" not in plan
+
+
+def test_divergence_reconciles_each_table_once(spark):
+    plan = registry.QUERIES["layer_divergence"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert len(windows) == 7   # six tables, and orders once more as the items' parent

@@ -9,7 +9,7 @@ from changelake.config import Paths, RunConfig
 from changelake.plans.metrics import GateError
 from changelake.plans.silver_job import run_table
 from changelake.plans.specs import FIXTURE_SPECS
-from changelake.sinks.parquet import read_table
+from changelake.sinks.parquet import read_metrics, read_table
 from changelake.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -34,7 +34,7 @@ def test_run_fact_order_items(spark, tmp_root, materialize):
     assert silver.filter(F.col("order_year").isNull()).count() == 0
     q = read_table(spark, res.quarantine_path)
     assert q.filter(F.col("run_id") == cfg.run_id).count() == 438
-    m = {r.metric_name: r.value for r in read_table(spark, cfg.metrics_path).collect()}
+    m = {r.metric_name: r.value for r in read_metrics(spark, cfg.metrics_path).collect()}
     assert m["silver_row_count"] == 2645.0
     assert m["silver_data_age_hours"] > 24
 
@@ -47,15 +47,20 @@ def test_empty_output_gate(spark, tmp_root):
         run_table(spark, spec, cfg, raw=raw, parent_specs=FIXTURE_SPECS)
 
 
-def test_forced_broadcast_is_size_checked(spark):
-    from changelake.operators.joins import attach_parent, fits_in_rows
-    child = spark.range(10).withColumnRenamed("id", "k")
-    parent = spark.range(5).withColumnRenamed("id", "k").withColumn("p", F.lit(1))
-    assert fits_in_rows(parent, 5) and not fits_in_rows(parent, 4)
-    small = attach_parent(child, parent, "k", broadcast=10)
-    big = attach_parent(child, parent, "k", broadcast=2)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert small.count() == big.count() == 10
+def test_small_parent_becomes_a_broadcast_at_run_time(spark):
+    from changelake.operators.joins import attach_parent
+    child = spark.range(1000).withColumnRenamed("id", "k")
+    parent = spark.range(5).withColumnRenamed("id", "k").withColumn("p", F.lit(1)).repartition("k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = attach_parent(child.repartition("k"), parent, "k").groupBy("p").count()
+        planned = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in planned and "BroadcastHashJoin" not in planned
+        assert sorted(r["count"] for r in joined.collect()) == [5, 995]
+        assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_entry_smoke(spark):
@@ -72,19 +77,59 @@ def test_versioned_publish_repoints_catalog(spark, tmp_root):
     raw = fx.bronze(spark, SF, "customers")
     cfg1 = RunConfig(Paths.under(tmp_root), run_id="r1")
     cfg2 = RunConfig(Paths.under(tmp_root), run_id="r2")
-    r1 = run_table(spark, spec, cfg1, raw=raw, parent_specs=FIXTURE_SPECS, publish="versioned")
+    r1 = run_table(spark, spec, cfg1, raw=raw, parent_specs=FIXTURE_SPECS, publish="versioned", register=True)
     r2 = run_table(spark, spec, cfg2, raw=raw.filter("customer_id % 2 = 0"),
-                   parent_specs=FIXTURE_SPECS, publish="versioned")
+                   parent_specs=FIXTURE_SPECS, publish="versioned", register=True)
     assert r1.silver_path != r2.silver_path
     assert spark.table("dim_customer").count() == r2.valid_rows < r1.valid_rows
     # The earlier version is still intact for readers that pinned it.
     assert read_table(spark, r1.silver_path).count() == r1.valid_rows
-    spark.sql("DROP TABLE dim_customer")
+    # Gold and other readers of the table's root see the current version.
+    assert read_table(spark, cfg2.paths.silver_table("dim_customer")).count() == r2.valid_rows
+    spark.sql("DROP VIEW dim_customer")
+
+
+def test_two_runs_of_one_table_do_not_share_staging(spark, tmp_root):
+    from concurrent.futures import ThreadPoolExecutor
+    spec = FIXTURE_SPECS["dim_product"]
+    raw = fx.bronze(spark, SF, "products")
+    odd = raw.filter("product_id % 2 = 1")
+
+    def run(args):
+        name, log = args
+        return run_table(spark, spec, RunConfig(Paths.under(os.path.join(tmp_root, name)), run_id=name,
+                                                environment=name), raw=log, parent_specs=FIXTURE_SPECS)
+    with ThreadPoolExecutor(2) as pool:
+        whole, half = pool.map(run, [("dev", raw), ("prod", odd)])
+    assert read_table(spark, whole.silver_path).filter("product_id % 2 = 0").count() > 0
+    assert read_table(spark, half.silver_path).filter("product_id % 2 = 0").count() == 0
+    assert half.valid_rows < whole.valid_rows
+
+
+def test_empty_rerun_clears_its_quarantine(spark, tmp_root):
+    spec = FIXTURE_SPECS["dim_product"]
+    raw = fx.bronze(spark, SF, "products")
+    cfg = RunConfig(Paths.under(tmp_root), run_id="r1")
+    first = run_table(spark, spec, cfg, raw=raw, parent_specs=FIXTURE_SPECS)
+    assert first.quarantined_rows > 0
+    clean = raw.filter("brand IS NOT NULL AND unit_price > 0 AND stock_qty >= 0")
+    again = run_table(spark, spec, cfg, raw=clean, parent_specs=FIXTURE_SPECS)
+    assert again.quarantined_rows == 0
+    assert read_table(spark, again.quarantine_path).filter("run_id = 'r1'").count() == 0
+
+
+def test_empty_partitioned_table_registers(spark, tmp_root):
+    spec = FIXTURE_SPECS["fact_orders"]
+    raw = fx.bronze(spark, SF, "orders").filter(F.lit(False))
+    run_table(spark, spec, RunConfig(Paths.under(tmp_root), run_id="e1"), raw=raw,
+              parent_specs=FIXTURE_SPECS, register=True)
+    assert spark.table("fact_orders").count() == 0
+    spark.sql("DROP VIEW fact_orders")
 
 
 def test_one_call_validate_and_metric_publishers(spark, tmp_root):
     from changelake.plans.metrics import publish_freshness_metric, publish_row_count_metric
-    from changelake.plans.silver_job import validate
+    from changelake.plans.silver_job import release, validate
     df = spark.createDataFrame([(1, 5), (None, 5), (2, -1)], "a int, b int")
     rules = {"a_not_null": "a IS NOT NULL", "b_positive": "b > 0"}
     valid = validate(df, rules, os.path.join(tmp_root, "q"), "t", run_id="r1")
@@ -96,6 +141,6 @@ def test_one_call_validate_and_metric_publishers(spark, tmp_root):
     assert publish_freshness_metric(spark, "t", None, "proj-prod-x", mp) is None
     publish_freshness_metric(spark, "t", "2026-03-01 23:59:59.000000", "proj-prod-x", mp)
     publish_row_count_metric(spark, "t", 7, "proj-prod-x", mp)
-    got = {r.metric_name: (r.value, r.environment) for r in read_table(spark, mp).collect()}
+    got = {r.metric_name: (r.value, r.environment) for r in read_metrics(spark, mp).collect()}
     assert got == {"silver_data_age_hours": (24.0, "prod"), "silver_row_count": (7.0, "prod")}
-    spark.catalog.clearCache()
+    release(valid)

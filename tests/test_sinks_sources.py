@@ -12,7 +12,8 @@ from pyspark.sql.types import TimestampNTZType
 from changelake.functions.schema_diff import DriftError
 from changelake.schemas import bronze_schema
 from changelake.sinks.parquet import read_table, register_table, write_quarantine, write_silver
-from changelake.sources.bronze import footer_drift, read_bronze, write_change_log
+from changelake.sources.bronze import footer_drift, read_bronze
+from changelake.sources.fixtures import write_change_log
 
 
 def _orders_table(rows):
@@ -99,6 +100,26 @@ def test_partition_filter_prunes_folders(spark, tmp_root):
 def test_register_table(spark, tmp_root):
     path = os.path.join(tmp_root, "reg")
     write_silver(spark.createDataFrame([(1, 2020, 1)], "a int, y int, m int"), path, ["y", "m"])
-    register_table(spark, "reg_t", path, ["y", "m"])
+    register_table(spark, "reg_t", path, partition_by=["y", "m"])
     assert spark.table("reg_t").count() == 1
-    spark.sql("DROP TABLE reg_t")
+    other = os.path.join(tmp_root, "reg2")
+    write_silver(spark.createDataFrame([(1, 2020, 1), (2, 2021, 1)], "a int, y int, m int"), other, ["y", "m"])
+    register_table(spark, "reg_t", other, partition_by=["y", "m"], version="r2")
+    assert spark.table("reg_t").count() == 2
+    assert [t.name for t in spark.catalog.listTables(pattern="reg_t__*")] == ["reg_t__r2"]
+    spark.sql("DROP VIEW reg_t")
+
+
+def test_drift_is_seen_per_file(spark, tmp_root):
+    root = os.path.join(tmp_root, "orders")
+    os.makedirs(os.path.join(root, "2024"))
+    full = _orders_table([("I", "2024-01-01 00:00:00.000000", 1)])
+    pq.write_table(full, os.path.join(root, "LOAD00000001.parquet"))
+    pq.write_table(full.drop(["order_status"]), os.path.join(root, "2024", "a.parquet"))
+    pq.write_table(full.set_column(2, "order_id", pa.array(["x"])), os.path.join(root, "2024", "b.parquet"))
+    schema = bronze_schema("orders", TimestampNTZType())
+    got = {(r["column_name"], r["status"]): r["files"] for r in footer_drift(spark, root, schema)}
+    assert got[("order_status", "missing")] == 1 and got[("order_status", "ok")] == 2
+    assert got[("order_id", "retyped")] == 1 and got[("order_id", "ok")] == 2
+    with pytest.raises(DriftError):
+        read_bronze(spark, root, schema, check_schema="error")

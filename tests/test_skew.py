@@ -33,6 +33,7 @@ def test_hot_key_reconcile_matches_aggregate_form(spark):
 
 
 def test_hot_parent_join_keeps_every_child(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         items = fx.bronze(spark, SF, "order_items").select(
@@ -44,7 +45,7 @@ def test_hot_parent_join_keeps_every_child(spark):
         assert joined.filter("order_id = 0 and order_date is not null").count() == \
             items.filter("order_id = 0").count() * parents.filter("order_id = 0").count()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_hot_partition_month_is_written_by_several_tasks(spark, tmp_root):

@@ -50,17 +50,29 @@ def test_aggregate_form_matches_window_form_with_ties(spark):
                  reconcile(raw, keys, tie_breakers=ties).select(*sorted(agg.columns)))
 
 
-def test_compacted_snapshot_equals_current_state(spark, tmp_root):
+def test_batch_equals_stream_with_full_ties(spark):
+    rows = [("U", "2024-01-01 00:00:00.000000", k, v) for k in (1, 2) for v in ("b", "c", None, "a")]
+    df = spark.createDataFrame(rows, "Op string, _dms_timestamp string, id int, v string")
+    agg = latest_event_aggregate(df, ["id"]).select(*df.columns)
+    assert _same(agg, reconcile(df, "id", keep_capture_cols=True).select(*df.columns))
+    mixed = spark.createDataFrame([("U", "2024-01-01T00:00:00", 1, "midnight"), ("U", "2024-01-01 23:00:00", 1, "late")],
+                                  df.schema)
+    assert latest_event_aggregate(mixed, ["id"], order_as="timestamp").first().v == "late"
+
+
+def test_reads_use_one_snapshot_and_the_batches_after_it(spark, tmp_root):
     from changelake.streaming.incremental import compact
     raw = fx.bronze(spark, "/root/testdata/sf0.001", "payments")
     src, state = os.path.join(tmp_root, "src"), os.path.join(tmp_root, "state")
-    raw.repartition(3, "method").write.parquet(src)
-    start_change_stream(spark, src, raw.schema, ["payment_id"], state,
-                        max_files_per_trigger=1).awaitTermination()
-    snap = os.path.join(tmp_root, "snapshot")
-    compact(spark, state, ["payment_id"], snap)
-    live = spark.read.parquet(snap).filter("Op <> 'D'").drop("Op", "_dms_timestamp", "batch_id")
-    cur = current_state(spark, state, ["payment_id"])
-    cols = sorted(cur.columns)
-    assert _same(live.select(cols), cur.select(cols))
-    assert _same(cur.select(cols), reconcile(raw, "payment_id").select(cols))
+    read = []
+    for part in range(4):
+        raw.filter(F.col("payment_id") % 4 == part).coalesce(1).write.parquet(os.path.join(src, f"p{part}"))
+        start_change_stream(spark, src, raw.schema, ["payment_id"], state).awaitTermination()
+        upto = compact(spark, state, ["payment_id"])
+        assert compact(spark, state, ["payment_id"]) == upto      # again: nothing to do
+        cur = current_state(spark, state, ["payment_id"])
+        read.append(len(os.listdir(os.path.join(state, "changes"))))
+        part_log = raw.filter(F.col("payment_id") % 4 <= part)
+        cols = sorted(cur.columns)
+        assert _same(cur.select(cols), reconcile(part_log, "payment_id").select(cols))
+    assert read == [1, 1, 1, 1]                                   # folders do not pile up
