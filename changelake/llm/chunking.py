@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, slices, with_row
+from .common import Stash, fresh, slices, with_row
 
 
 def gear_table(seed: int = 29) -> np.ndarray:
@@ -137,15 +137,17 @@ def repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text:
 def remove_repeats(docs: DataFrame, text: str = "text", **params) -> DataFrame:
     """``docs`` with the removed spans cut out of the text's bytes; bytes of a
     character that a cut splits are dropped with it."""
-    found = repeats(docs, text=text, **params).where("n_removed > 0").select("_row", "spans")
-    rows = with_row(docs).join(found, "_row", "left")
+    found = repeats(docs, text=text, **params).where("n_removed > 0")
+    row, cuts = fresh(docs, "_row"), fresh(docs, "_cuts")
+    found = found.select(F.col("_row").alias(row), F.col("spans").alias(cuts))
+    rows = with_row(docs, row).join(found, row, "left")
     schema = docs.schema
     cols = docs.columns
 
     def cut(batches):
         for pdf in batches:
             new = []
-            for t, spans in zip(pdf[text], pdf["spans"]):
+            for t, spans in zip(pdf[text], pdf[cuts]):
                 if isinstance(spans, str) and spans:
                     data, last, out = t.encode(), 0, []
                     for s, e in (map(int, x.split(":")) for x in spans.split(",")):
@@ -156,5 +158,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", **params) -> DataFrame:
             pdf[text] = new
             yield pdf[cols]
 
-    changed = rows.where("spans is not null").select(*cols, "spans").mapInPandas(cut, schema)
-    return rows.where("spans is null").select(*cols).unionByName(changed)
+    changed = rows.where(F.col(cuts).isNotNull()).select(*cols, cuts).mapInPandas(cut, schema)
+    return rows.where(F.col(cuts).isNull()).select(*cols).unionByName(changed)

@@ -46,6 +46,14 @@ class Stash:
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    have = {c.lower() for c in df.columns}
+    while stem.lower() in have:
+        stem = "_" + stem
+    return stem
+
+
 def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
     """Number the rows of a stored table. The numbers follow the file splits, so
     every read of the same files gives the same numbers."""

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Stash, with_row
+from .common import WORD, Stash, fresh, with_row
 
 WEIGHTS = (3, 1, 2)
 
@@ -118,7 +118,8 @@ def plan(docs: DataFrame, budget: float = 1.5, max_epochs: int = 2, seed: int =
 
 def mix(docs: DataFrame, **params) -> DataFrame:
     """The mixed documents: every row as often as its epochs say."""
-    copies = plan(docs, **params).where("copies > 0").select("_row", "copies")
-    return (with_row(docs).join(copies, "_row")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select(*docs.columns))
+    row, copies = fresh(docs, "_row"), fresh(docs, "_copies")
+    wanted = plan(docs, **params).where("copies > 0").select(
+        F.col("_row").alias(row), F.sequence(F.lit(1), F.col("copies").cast("int")).alias(copies))
+    return (with_row(docs, row).join(wanted, row)
+            .select(*docs.columns, F.explode(copies).alias(copies)).select(*docs.columns))

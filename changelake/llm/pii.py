@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, with_row
+from .common import Stash, fresh, with_row
 
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 # Kinds in their order, with patterns.
@@ -203,9 +203,10 @@ def sanitise(docs: DataFrame, alpha: float = 0.9, support: int = 3, text: str =
     """``docs`` with every base span replaced by its kind in brackets and every
     added span by its general form or nothing; other columns as they were."""
     found = find(docs, alpha, support, text=text).where(F.size("base") > 0)
+    row, spans = fresh(docs, "_row"), fresh(docs, "_spans")
     found = Stash(docs.sparkSession, "pii-found").put(found.select(
-        "_row", F.array_sort(F.concat("base", "added")).alias("_all")))
-    rows = with_row(docs)
+        F.col("_row").alias(row), F.array_sort(F.concat("base", "added")).alias(spans)))
+    rows = with_row(docs, row)
 
     def step(acc, s):
         mark = F.when(s["kind"] == "term", s["value"]).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
@@ -215,9 +216,9 @@ def sanitise(docs: DataFrame, alpha: float = 0.9, support: int = 3, text: str =
             s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap, mark))).otherwise(acc["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    new = F.aggregate("_all", start, step, lambda acc: F.concat(
+    new = F.aggregate(spans, start, step, lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substr(F.col(text), acc["at"] + 1)))
-    changed = rows.join(found, "_row").withColumn(text, new).select(*docs.columns)
+    changed = rows.join(found, row).withColumn(text, new).select(*docs.columns)
     # Which rows changed is decided by the same expression as above, row by row.
     same = rows.where(F.coalesce(F.size(base_spans(F.col(text))), F.lit(0)) <= 0).select(*docs.columns)
     return same.unionByName(changed)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, connected, expand_ranges, slices, union_labels, with_row
+from .common import Stash, connected, expand_ranges, fresh, slices, union_labels, with_row
 
 _BIT_OF = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
 _BYTE_BASE = np.arange(8, dtype=np.int64) * 256
@@ -185,4 +185,5 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     found = near_duplicates(docs, **params)
     winners = (found.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("w")).select("w._row"))
-    return with_row(docs).join(winners, "_row", "left_semi").drop("_row")
+    row = fresh(docs, "_row")
+    return with_row(docs, row).join(winners.withColumnRenamed("_row", row), row, "left_semi").select(*docs.columns)

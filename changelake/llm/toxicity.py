@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import Stash, fresh, slices
 
 _STRIP = re.compile(r"[\W_]+")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -100,7 +100,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
                 yield pa.RecordBatch.from_arrays(
                     [part.column("shard"), part.column("y"), lists], ["shard", "y", "x"])
 
-    from .common import Stash
     rows = Stash(spark, "toxicity").put(
         rows.mapInArrow(featurise, "shard bigint, y int, x array<int>"))
     z, n = np.zeros(size), np.zeros(size)
@@ -135,19 +134,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
 
 
 def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 20,
-          keep: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
-    """``keep`` columns (default all) and ``score``; the text is read whole."""
+          keep: tuple[str, ...] | None = None, text: str = "text", name: str = "score") -> DataFrame:
+    """``keep`` columns (default all) and the score as ``name``; the text is read
+    whole."""
     keep = tuple(docs.columns) if keep is None else keep
     if weights is None:
-        return docs.select(*keep, F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit(0.0).alias(name))
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     bias = float(weights[-1])
+    whole = fresh(docs, "_t")
 
     def run(batches):
         w = shared.value
         for batch in batches:
-            for part in slices(batch, "_t", 4 << 20):
-                doc, feat = doc_features(part.column("_t"), bits)
+            for part in slices(batch, whole, 4 << 20):
+                doc, feat = doc_features(part.column(whole), bits)
                 wx = w[feat]
                 hit = wx != 0
                 pairs = np.unique(doc[hit] << np.int64(32) | feat[hit])
@@ -155,11 +156,11 @@ def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 20,
                                     minlength=part.num_rows)
                 p = 1 / (1 + np.exp(-np.clip(total + bias, -35, 35)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(k) for k in keep] + [pa.array(p)], [*keep, "score"])
+                    [part.column(k) for k in keep] + [pa.array(p)], [*keep, name])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
-    src = docs.select(*keep, F.col(text).alias("_t"))
-    schema = StructType([src.schema[k] for k in keep] + [StructField("score", DoubleType())])
+    src = docs.select(*keep, F.col(text).alias(whole))
+    schema = StructType([src.schema[k] for k in keep] + [StructField(name, DoubleType())])
     return src.mapInArrow(run, schema)
 
 

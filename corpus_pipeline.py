@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.llm import mixing, packing, simhash, toxicity
-from changelake.llm.common import Stash
+from changelake.llm import mixing, packing, pii, simhash, toxicity
+from changelake.llm.common import Stash, fresh
 from changelake.llm.queries import tokenizer_path
 
 
@@ -19,7 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below one half."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     weights = toxicity.train(docs, labels)
-    return toxicity.score(docs, weights).where(F.col("score") < 0.5).drop("score")
+    score = fresh(docs, "score")
+    return toxicity.score(docs, weights, name=score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,6 +28,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs)
 
 
+def clear_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it replaced in the texts;
+    ``n_chars`` follows the text."""
+    out = pii.sanitise(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text"))
+                             .cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return out
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the source weights ask for."""
     return mixing.mix(docs)
@@ -41,6 +52,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash", drop_near_copies),
+    ("pii", clear_personal_data),
     ("mixing", mix_sources),
     ("packing", pack),
 ]
