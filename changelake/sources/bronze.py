@@ -14,13 +14,18 @@ otherwise read silently as NULL.
 from __future__ import annotations
 
 import json
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.schema_diff import schema_drift_rows, DriftError
 
+# The footer reader travels by value: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_bronze(spark: SparkSession, path: str, schema: StructType, *,
                 recursive: bool = True, glob: str = "*.parquet",
@@ -84,7 +89,7 @@ def _read_footers(batches):
                 fs, source = pafs.FileSystem.from_uri(name.replace("file:/", "file:///") if not name.startswith(
                     "file:///") and name.startswith("file:/") else name)
             f = pq.ParquetFile(source, filesystem=fs) if fs else pq.ParquetFile(source)
-            out.append((from_arrow_schema(f.schema_arrow).json(), f.metadata.num_rows))
+            out.append((from_arrow_schema(f.schema_arrow, prefer_timestamp_ntz=True).json(), f.metadata.num_rows))
         yield pd.DataFrame(out, columns=["schema", "rows"])
 
 
