@@ -91,10 +91,12 @@ def chunks(docs: DataFrame, mask_bits: int = 5, least: int = 32, most: int = 512
         run, f"_row bigint, doc_id {kind}, nth int, start int, size int, words int, digest binary")
 
 
-def repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text: str = "text",
+def repeats(docs: DataFrame, min_words: int = 25, id_col: str = "doc_id", text: str = "text",
             **params) -> DataFrame:
     """One row per document: n_bytes, n_chunks, n_shared (chunks whose digest
-    stands elsewhere too), n_removed (bytes), spans (removed, ``start:end``)."""
+    stands elsewhere too), shared_words (words of the longest run of such
+    chunks, first occurrences included), n_removed (bytes), spans (removed,
+    ``start:end``)."""
     stash = Stash(docs.sparkSession, "chunks")
     src = with_row(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")))
     every = stash.put(chunks(src, **params))
@@ -104,33 +106,38 @@ def repeats(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text:
     hit = (every.join(firsts, "digest")
            .select("_row", "nth", "start", "size", "words",
                    ((F.col("first._row") != F.col("_row")) | (F.col("first.nth") != F.col("nth"))).alias("again")))
-    per = hit.groupBy("_row").agg(F.count("*").alias("n_shared"), F.array_sort(F.collect_list(F.when(
-        F.col("again"), F.struct("nth", "start", "size", "words")))).alias("found"))
+    per = hit.groupBy("_row").agg(F.count("*").alias("n_shared"), F.array_sort(F.collect_list(
+        F.struct("nth", "start", "size", "words", "again"))).alias("found"))
+
+    def joined(found):
+        """Runs of neighbouring chunks as [last chunk, start, end, words]."""
+        out = []
+        for x in found:
+            if out and x["nth"] == out[-1][0] + 1:
+                out[-1] = [x["nth"], out[-1][1], x["start"] + x["size"], out[-1][3] + x["words"]]
+            else:
+                out.append([x["nth"], x["start"], x["start"] + x["size"], x["words"]])
+        return out
 
     def runs(batches):
         for pdf in batches:
-            spans, removed = [], []
+            longest, spans, removed = [], [], []
             for found in pdf["found"]:
-                out, now = [], None
-                for x in found:
-                    if now and x["nth"] == now[0] + 1:
-                        now = [x["nth"], now[1], x["start"] + x["size"], now[3] + x["words"]]
-                    else:
-                        out.append(now)
-                        now = [x["nth"], x["start"], x["start"] + x["size"], x["words"]]
-                out = [r for r in [*out, now] if r and r[3] >= min_words]
+                longest.append(max(r[3] for r in joined(found)))
+                out = [r for r in joined([x for x in found if x["again"]]) if r[3] >= min_words]
                 spans.append(",".join(f"{r[1]}:{r[2]}" for r in out))
                 removed.append(sum(r[2] - r[1] for r in out))
-            yield pd.DataFrame({"_row": pdf["_row"], "n_shared": pdf["n_shared"],
+            yield pd.DataFrame({"_row": pdf["_row"], "n_shared": pdf["n_shared"], "shared_words": longest,
                                 "n_removed": removed, "spans": spans})
 
-    per = per.mapInPandas(runs, "_row bigint, n_shared bigint, n_removed bigint, spans string")
+    per = per.mapInPandas(runs, "_row bigint, n_shared bigint, shared_words bigint, n_removed bigint, spans string")
     total = every.groupBy("_row").agg(F.count("*").alias("n_chunks"))
     base = src.select("_row", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
     zero = F.lit(0).cast("bigint")
     return base.join(total, "_row", "left").join(per, "_row", "left").select(
         "_row", "doc_id", "n_bytes", F.coalesce("n_chunks", zero).alias("n_chunks"),
-        F.coalesce("n_shared", zero).alias("n_shared"), F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_shared", zero).alias("n_shared"), F.coalesce("shared_words", zero).alias("shared_words"),
+        F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("spans", F.lit("")).alias("spans"))
 
 

@@ -381,22 +381,24 @@ def test_repeats_equal_brute_force(docs, none):
         per.append((r, data, out))
     want = []
     for r, data, out in per:
-        again, spans = [], []
+        again, spans, longest, run = [], [], 0, 0
         for s, e, c in out:
             again.append(c in seen)
             seen.add(c)
+            run = run + len(c.split()) if count[c] > 1 else 0
+            longest = max(longest, run)
         k = 0
         while k < len(out):
             j = k
             while j < len(out) and again[j]:
                 j += 1
-            if j > k and sum(len(c.split()) for _, _, c in out[k:j]) >= 20:
+            if j > k and sum(len(c.split()) for _, _, c in out[k:j]) >= 25:
                 spans.append((out[k][0], out[j - 1][1]))
             k = max(j, k + 1)
-        want.append((r.n, r.doc_id, len(data), len(out), sum(count[c] > 1 for _, _, c in out),
+        want.append((r.n, r.doc_id, len(data), len(out), sum(count[c] > 1 for _, _, c in out), longest,
                      sum(e - s for s, e in spans), ",".join(f"{s}:{e}" for s, e in spans)))
     got = chunking.repeats(docs).collect()
-    assert Counter(map(tuple, got)) == Counter(want) and any(w[5] for w in want)
+    assert Counter(map(tuple, got)) == Counter(want) and any(w[6] for w in want)
     out = chunking.remove_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
     assert chunking.repeats(none).count() == 0 and chunking.remove_repeats(none).count() == 0
