@@ -152,14 +152,14 @@ def disclosing(docs: DataFrame, entity_lines: DataFrame, alpha: float, support:
                        .groupBy("term").agg(F.count("*").alias("n_t")))
     forms = counts.groupBy(_generalised(F.col("term")).alias("form")).agg(F.sum("n_t").alias("n_f"))
     breaks = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
-    total = docs.agg(F.sum(F.coalesce(breaks, F.lit(0)) + 1).alias("n"))  # one row
+    n = F.lit(float(docs.agg(F.sum(F.coalesce(breaks, F.lit(0)) + 1)).first()[0] or 0))
 
-    found = by_term.join(n_c, "entity").join(counts, "term").crossJoin(F.broadcast(total))
-    ic = F.log(F.col("n") / F.col("n_c"))
-    pmi = F.log(F.col("n_ct") * F.col("n") / (F.col("n_c") * F.col("n_t")))
+    found = by_term.join(n_c, "entity").join(counts, "term")
+    ic = F.log(n / F.col("n_c"))
+    pmi = F.log(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t")))
     found = found.where((ic > 0) & (pmi >= alpha * ic))
     found = found.join(by_form, ["entity", "form"]).join(forms, "form")
-    pmi_form = F.log(F.col("n_cf") * F.col("n") / (F.col("n_c") * F.col("n_f")))
+    pmi_form = F.log(F.col("n_cf") * n / (F.col("n_c") * F.col("n_f")))
     return found.select("entity", "term",
                         F.when(pmi_form < alpha * ic, F.col("form")).otherwise("").alias("form"))
 

@@ -106,17 +106,14 @@ def score_texts(texts: DataFrame, order: int = 4) -> DataFrame:
              .select("gram", (F.log(fold_in("a", "na", "ta")) - F.log(fold_in("b", "nb", "tb"))).alias("ratio")))
     total = (grams.select("text", "gram", "times").join(ratio, "gram")
              .groupBy("text").agg(F.sum(F.col("times") * F.col("ratio")).alias("sum")))
-    both = texts.agg(F.max(F.when(F.col("learn"), F.col("allowed"))).alias("x"),
-                     F.max(F.when(F.col("learn"), F.col("blocked"))).alias("y"))
-    scored = (texts.join(total, "text", "left").crossJoin(F.broadcast(both))
-              .withColumn("score", F.when((F.col("x") > 0) & (F.col("y") > 0),
-                                          F.coalesce(F.col("sum") / F.char_length("text"), F.lit(0.0)))
-                          .otherwise(0.0)))
+    classes = texts.where("learn").agg(F.max("allowed"), F.max("blocked")).first()
+    mean = F.coalesce(F.col("sum") / F.char_length("text"), F.lit(0.0)) if all(classes) else F.lit(0.0)
+    scored = texts.join(total, "text", "left").withColumn("score", mean)
     return scored.select("text", "allowed", "blocked", "learn", "score")
 
 
-def threshold(scored: DataFrame) -> DataFrame:
-    """One row (cut): equally many deviations from both left-out means."""
+def threshold(scored: DataFrame) -> float:
+    """The cut: equally many deviations from both left-out means."""
     out = scored.where(~F.col("learn"))
 
     def of(flag, f):
@@ -126,7 +123,7 @@ def threshold(scored: DataFrame) -> DataFrame:
     spread = F.col("sa") + F.col("sb")
     cut = F.when(spread > 0, (F.col("ma") * F.col("sb") + F.col("mb") * F.col("sa")) / spread).otherwise(
         (F.col("ma") + F.col("mb")) / 2)
-    return s.select(F.coalesce(cut, F.lit(0.0)).alias("cut"))
+    return float(s.select(F.coalesce(cut, F.lit(0.0)).alias("cut")).first()[0])
 
 
 def judge(pages: DataFrame, rules=RULES, order: int = 4, id_col: str = "page_id",
@@ -145,6 +142,7 @@ def judge(pages: DataFrame, rules=RULES, order: int = 4, id_col: str = "page_id"
     texts = texts.select("text", F.coalesce("allowed", F.lit(0)).alias("allowed"),
                          F.coalesce("blocked", F.lit(0)).alias("blocked"))
     scored = stash.put(score_texts(texts, order))
-    return (rows.join(scored.select("text", "score"), "text").crossJoin(F.broadcast(threshold(scored)))
-            .select("_row", "page_id", "host", "path", "rule", F.coalesce("ruled", F.when(
-                F.col("score") >= F.col("cut"), "allow").otherwise("block")).alias("verdict"), "score", "cut"))
+    cut = F.lit(threshold(scored))
+    return rows.join(scored.select("text", "score"), "text").select(
+        "_row", "page_id", "host", "path", "rule", F.coalesce("ruled", F.when(
+            F.col("score") >= cut, "allow").otherwise("block")).alias("verdict"), "score", cut.alias("cut"))
