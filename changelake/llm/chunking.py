@@ -61,34 +61,34 @@ def cut_points(data: bytes, gear: np.ndarray, mask_bits: int, least: int, most:
 
 def chunks(docs: DataFrame, mask_bits: int = 5, least: int = 32, most: int = 512,
            seed: int = 29) -> DataFrame:
-    """(_row, doc_id, nth, start, size, words, digest) of ``docs(_row, doc_id, text)``."""
+    """(_row, doc_id, place, digest) of ``docs(_row, doc_id, text)``. ``place`` holds
+    a chunk's start, size and number of words in one long: the start from bit 20
+    up, then ten bits each, so a chunk has under 1024 bytes."""
+    if not 0 < least <= most < 1024:
+        raise ValueError("chunks must be under 1024 bytes")
 
     def run(batches):
         gear = gear_table(seed)
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                of, nth, start, size, words, digest = [], [], [], [], [], []
+                of, place, digest = [], [], []
                 for k, data in enumerate(part.column("text").to_pylist()):
                     last = 0
-                    for i, end in enumerate(cut_points(data or b"", gear, mask_bits, least, most)):
+                    for end in cut_points(data or b"", gear, mask_bits, least, most):
                         piece = data[last:end]
                         of.append(k)
-                        nth.append(i)
-                        start.append(last)
-                        size.append(end - last)
-                        words.append(len(piece.split()))
+                        place.append(last << 20 | (end - last) << 10 | len(piece.split()))
                         digest.append(xxhash.xxh3_128_digest(piece))
                         last = end
                 take = pa.array(of, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_row").take(take), part.column("doc_id").take(take),
-                     pa.array(nth, pa.int32()), pa.array(start, pa.int32()), pa.array(size, pa.int32()),
-                     pa.array(words, pa.int32()), pa.array(digest, pa.binary())],
-                    ["_row", "doc_id", "nth", "start", "size", "words", "digest"])
+                     pa.array(place, pa.int64()), pa.array(digest, pa.binary())],
+                    ["_row", "doc_id", "place", "digest"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("_row", "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, f"_row bigint, doc_id {kind}, nth int, start int, size int, words int, digest binary")
+        run, f"_row bigint, doc_id {kind}, place bigint, digest binary")
 
 
 def repeats(docs: DataFrame, min_words: int = 25, id_col: str = "doc_id", text: str = "text",
@@ -100,33 +100,34 @@ def repeats(docs: DataFrame, min_words: int = 25, id_col: str = "doc_id", text:
     stash = Stash(docs.sparkSession, "chunks")
     src = with_row(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")))
     every = stash.put(chunks(src, **params))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row", "nth")
-    firsts = (every.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-              .where("n > 1"))
-    hit = (every.join(firsts, "digest")
-           .select("_row", "nth", "start", "size", "words",
-                   ((F.col("first._row") != F.col("_row")) | (F.col("first.nth") != F.col("nth"))).alias("again")))
+    where = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row", "place")
+    firsts = (every.groupBy("digest").agg(F.min(where).alias("first"), F.count("*").alias("n"))
+              .where("n > 1").select("digest", F.col("first._row").alias("first_row"),
+                                     F.col("first.place").alias("first_place")))
+    hit = (every.select("_row", "place", "digest").join(firsts, "digest").select("_row", "place", (
+        (F.col("first_row") != F.col("_row")) | (F.col("first_place") != F.col("place"))).alias("again")))
     per = hit.groupBy("_row").agg(F.count("*").alias("n_shared"), F.array_sort(F.collect_list(
-        F.struct("nth", "start", "size", "words", "again"))).alias("found"))
+        F.struct("place", "again"))).alias("found"))
 
     def joined(found):
-        """Runs of neighbouring chunks as [last chunk, start, end, words]."""
+        """Runs of neighbouring chunks as [start, end, words]."""
         out = []
         for x in found:
-            if out and x["nth"] == out[-1][0] + 1:
-                out[-1] = [x["nth"], out[-1][1], x["start"] + x["size"], out[-1][3] + x["words"]]
+            start, size, words = x["place"] >> 20, x["place"] >> 10 & 1023, x["place"] & 1023
+            if out and start == out[-1][1]:
+                out[-1] = [out[-1][0], start + size, out[-1][2] + words]
             else:
-                out.append([x["nth"], x["start"], x["start"] + x["size"], x["words"]])
+                out.append([start, start + size, words])
         return out
 
     def runs(batches):
         for pdf in batches:
             longest, spans, removed = [], [], []
             for found in pdf["found"]:
-                longest.append(max(r[3] for r in joined(found)))
-                out = [r for r in joined([x for x in found if x["again"]]) if r[3] >= min_words]
-                spans.append(",".join(f"{r[1]}:{r[2]}" for r in out))
-                removed.append(sum(r[2] - r[1] for r in out))
+                longest.append(max(r[2] for r in joined(found)))
+                out = [r for r in joined([x for x in found if x["again"]]) if r[2] >= min_words]
+                spans.append(",".join(f"{r[0]}:{r[1]}" for r in out))
+                removed.append(sum(r[1] - r[0] for r in out))
             yield pd.DataFrame({"_row": pdf["_row"], "n_shared": pdf["n_shared"], "shared_words": longest,
                                 "n_removed": removed, "spans": spans})
 
