@@ -4,8 +4,9 @@ Features are the distinct hashed words, word pairs and one-word-gap skip-grams
 of the whole text, each 1 if present. Training runs in rounds: every shard of
 the labelled sample starts from the shared state, makes one FTRL pass with
 per-coordinate rates, and the states are averaged; the rarer label counts
-``positive`` times. L1 keeps most weights at exactly zero. The state has ``2**bits`` coordinates whatever the corpus, so its
-broadcast is bounded (16 MB at 20 bits).
+``positive`` times. L1 keeps most weights at exactly zero. The state has
+``2**bits`` coordinates whatever the corpus, so its broadcast and what the shards
+send back are bounded (8 MB of state, 4 MB per shard at 19 bits).
 
 The labelled sample is bounded: about ``sample_rows`` rows, chosen by a hash of
 the id. Rows of the held-out fold (crc32(doc_id) mod ``folds`` = 0) are never
@@ -70,7 +71,7 @@ def _crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = 20,
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = 19,
           sample_rows: int = 16_000, shards: int = 4, rounds: int = 8, alpha: float = 1.0,
           beta: float = 1.0, l1: float = 10.0, l2: float = 0.1, positive: float = 3.0,
           folds: int = 5) -> np.ndarray | None:
@@ -110,7 +111,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
             z, n = (v.copy() for v in state.value)
             order = np.random.default_rng(7).permutation(len(pdf))
             ys, xs = pdf["y"].to_numpy(), pdf["x"].to_numpy()
-            touched = np.zeros(size, bool)
             for k in order:
                 x = np.append(xs[k], size - 1).astype(np.int64)
                 nx, zx = n[x], z[x]
@@ -119,21 +119,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
                 g *= positive if ys[k] else 1.0
                 z[x] = zx + g - (np.sqrt(nx + g * g) - np.sqrt(nx)) / alpha * w
                 n[x] = nx + g * g
-                touched[x] = True
-            i = np.flatnonzero(touched)
-            return pd.DataFrame({"i": i, "dz": z[i] - state.value[0][i], "dn": n[i] - state.value[1][i]})
-
-        # One row per coordinate at most: 2**bits + 1, whatever the input.
-        delta = (rows.select("shard", "y", "x").groupBy("shard").applyInPandas(
-                    one_pass, "i bigint, dz double, dn double")
-                 .groupBy("i").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn"))).toPandas()
-        z[delta["i"]] += delta["dz"] / shards
-        n[delta["i"]] += delta["dn"] / shards
+            return pd.DataFrame({"dz": [(z - state.value[0]).astype("<f4").tobytes()],
+                                 "dn": [(n - state.value[1]).astype("<f4").tobytes()]})
+
+        # One row per shard, 2**bits + 1 coordinates each, whatever the input.
+        for delta in rows.select("shard", "y", "x").groupBy("shard").applyInPandas(
+                one_pass, "dz binary, dn binary").collect():
+            z += np.frombuffer(delta.dz, "<f4") / shards
+            n += np.frombuffer(delta.dn, "<f4") / shards
         state.destroy()
     return weights_of(z, n, alpha, beta, l1, l2)
 
 
-def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 20,
+def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 19,
           keep: tuple[str, ...] | None = None, text: str = "text", name: str = "score") -> DataFrame:
     """``keep`` columns (default all) and the score as ``name``; the text is read
     whole."""
@@ -147,7 +145,7 @@ def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 20,
     def run(batches):
         w = shared.value
         for batch in batches:
-            for part in slices(batch, whole, 4 << 20):
+            for part in slices(batch, whole, 2 << 20):
                 doc, feat = doc_features(part.column(whole), bits)
                 wx = w[feat]
                 hit = wx != 0
