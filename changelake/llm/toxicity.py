@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +104,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
 
     rows = Stash(spark, "toxicity").put(
         rows.mapInArrow(featurise, "shard bigint, y int, x array<int>"))
+    # Dealt to the shards once for all rounds; lost blocks come back from the table.
+    rows = rows.repartition(shards, "shard").persist(StorageLevel.MEMORY_AND_DISK)
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z, n))
@@ -128,6 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
             z += np.frombuffer(delta.dz, "<f4") / shards
             n += np.frombuffer(delta.dn, "<f4") / shards
         state.destroy()
+    rows.unpersist()
     return weights_of(z, n, alpha, beta, l1, l2)
 
 
