@@ -6,8 +6,7 @@ rule decides train two smoothed variable-order Markov models over characters,
 one of accepted and one of rejected urls; all other urls are judged by the
 models' log-likelihood difference per character.
 
-Model: url text is the host and path, digits read as one symbol, with padding
-in front. The probability of a character after its last k characters is
+Model: url text is the host and path, with padding in front. The probability of a character after its last k characters is
 Witten-Bell interpolated from order 0 up to ``order``; an order takes part where
 training saw that string in either class, so the context length varies. The
 threshold is calibrated: one part in five of the distinct training texts is left
@@ -56,7 +55,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def model_text(host: Column, path: Column) -> Column:
-    return F.regexp_replace(F.concat(host, path), "[0-9]", "0")
+    return F.concat(host, path)
 
 
 def _strings(texts: DataFrame, order: int, *keep: str) -> DataFrame:
