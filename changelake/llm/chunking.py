@@ -104,6 +104,7 @@ def repeats(docs: DataFrame, min_words: int = 25, id_col: str = "doc_id", text:
     firsts = (every.groupBy("digest").agg(F.min(where).alias("first"), F.count("*").alias("n"))
               .where("n > 1").select("digest", F.col("first._row").alias("first_row"),
                                      F.col("first.place").alias("first_place")))
+    firsts = stash.put(firsts)   # then AQE can split a digest that very many chunks have
     hit = (every.select("_row", "place", "digest").join(firsts, "digest").select("_row", "place", (
         (F.col("first_row") != F.col("_row")) | (F.col("first_place") != F.col("place"))).alias("again")))
     per = hit.groupBy("_row").agg(F.count("*").alias("n_shared"), F.array_sort(F.collect_list(
