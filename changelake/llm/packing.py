@@ -22,7 +22,9 @@ by one. An empty table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import math
+import unicodedata
 import zlib
 
 import numpy as np
@@ -34,7 +36,10 @@ from pyspark.sql import functions as F
 from .common import Stash, slices, with_row
 
 #: Cached words per worker; beyond it the cache starts anew (same results).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+#: Closing punctuation is a pre-token of its own after a letter or digit. Signs
+#: that occur in special tokens or contractions are not among these.
+CLOSING = ".,!?;:#$%&*()\""
 
 
 def _word_ids(path: str) -> "WordIds":
@@ -47,6 +52,22 @@ def _word_ids(path: str) -> "WordIds":
     return held[path]
 
 
+def _parts(word: str) -> tuple[str, str]:
+    """A word as stem and closing signs whose ids simply follow each other; a
+    Latin stem in lower case, as the tokenizer's normalizer makes it."""
+    if "<" in word:
+        return word, ""
+    stem = word.rstrip(CLOSING)
+    if not stem or not (len(stem[-1].lower()) == 1 and stem[-1].lower().isalnum()):
+        stem = word
+    return (stem.lower() if _latin(stem) else stem), word[len(stem):]
+
+
+def _latin(stem: str) -> bool:
+    """Letters that have one lower-case letter each, whatever stands beside them."""
+    return stem.isascii() or max(stem) < "\u0250" and "\u0130" not in stem
+
+
 class WordIds:
     """Token ids of whole texts, word by word.
 
@@ -56,41 +77,73 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelt: dict[int, str] = {}   # letters as the model's byte-level alphabet has them
         self.clear()
 
     def clear(self):
-        self.index: dict[str, int] = {}
-        self.ends = np.zeros(1, np.int64)
+        self.index: dict[str, int] = {"": 0}
+        self.ends = np.zeros(2, np.int64)
         self.ids = np.zeros(0, np.int32)
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        new = [w for w in words if w not in self.index]
+        new = list({w: 0 for w in words if w not in self.index})
         if new:
-            ids = []
-            for s in range(0, len(new), 4096):
-                ids += [e.ids for e in self.tok.encode_batch(new[s:s + 4096], add_special_tokens=False)]
+            ids = self._encode(new)
             lens = np.fromiter(map(len, ids), np.int64, len(ids))
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
             self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(lens)))
             self.ids = np.concatenate((self.ids, np.fromiter((i for x in ids for i in x), np.int32)))
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of distinct words. A run of Latin letters, normal and in lower
+        case, is one pre-token and goes to the model directly."""
+        out, other = [[] for _ in words], []
+        for k, w in enumerate(words):
+            if not w.isalpha() or not _latin(w):
+                other.append(k)
+                continue
+            if not w.isascii():
+                if not unicodedata.is_normalized("NFC", w):
+                    other.append(k)
+                    continue
+                for c in w:
+                    if c > "\x7f" and ord(c) not in self.spelt:
+                        self.spelt[ord(c)] = self.byte_level.pre_tokenize_str(c)[0][0]
+                w = w.translate(self.spelt)
+            out[k] = [t.id for t in self.model.tokenize(w)]
+        for s in range(0, len(other), 4096):
+            part = other[s:s + 4096]
+            for k, e in zip(part, self.tok.encode_batch_fast([words[k] for k in part], add_special_tokens=False)):
+                out[k] = e.ids
+        return out
+
+    def encode(self, texts: pa.Array, words_at_once: int = 400_000):
+        """The ids of each text, one array after the other."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        number = self._numbers(words.dictionary.to_pylist())
-        number = number[words.indices.to_numpy(zero_copy_only=False)]
-        start, count = self.ends[number], self.ends[number + 1] - self.ends[number]
-        ends = np.cumsum(count)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
-        flat = self.ids[at]
-        cut = np.concatenate((ends, [0]))[lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0] - 1]
-        return np.split(flat, cut[:-1]) if len(cut) else []
+        parts = [p for w in words.dictionary.to_pylist() for p in _parts(w)]
+        number = self._numbers(parts).reshape(-1, 2)
+        indices = words.indices.to_numpy(zero_copy_only=False)
+        offsets = lists.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + words_at_once, side="right")) - 1)
+            part = number[indices[offsets[first]:offsets[last]]].ravel()
+            start, count = self.ends[part], self.ends[part + 1] - self.ends[part]
+            ends = np.cumsum(count)
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
+            cut = np.concatenate(([0], ends))[2 * (offsets[first + 1:last + 1] - offsets[first])]
+            yield from np.split(self.ids[at], cut[:-1])
+            first = last
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int = 0,
@@ -100,7 +153,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int =
     def run(batches):
         tok = _word_ids(tokenizer)
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 16 << 20):
                 rows, nth, start, length, crc = [], [], [], [], []
                 for k, ids in enumerate(tok.encode(part.column("text"))):
                     ids = np.append(ids, closing).astype("<u4")
@@ -160,35 +213,45 @@ def _sweep(items: DataFrame, gaps: DataFrame, sub: int) -> DataFrame:
         .unionByName(lost)
 
 
-def pack(items: DataFrame, capacity: int = 2048, crumb: int = 64, part_rows: int = 20_000_000) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 2048, crumb: int = 64, part_rows: int = 20_000_000,
+         finish_rows: int = 5000) -> DataFrame:
     """(item, seq, offset) for ``items(item, length)``, item a unique long.
 
-    A sequence is named after the item that opened it.
+    A sequence is named after the item that opened it. Once no more than
+    ``finish_rows`` pieces are left, no more sequences are opened while any of
+    them fits a gap; what then fits none is packed among itself in one go.
     """
     spark = items.sparkSession
     stash = Stash(spark, "packing")
-    todo = items.where(F.col("length") > crumb)
-    big = todo.where(F.col("length") * 2 > capacity)  # no two of these share a sequence
-    placed = [big.select("item", F.col("item").alias("seq"), F.lit(0).cast("bigint").alias("offset"))]
+    zero = F.lit(0).cast("bigint")
+    big = items.where(F.col("length") * 2 > capacity)  # no two of these share a sequence
+    placed = [big.select("item", F.col("item").alias("seq"), zero.alias("offset"))]
     gaps = stash.put(big.select(F.col("item").alias("seq"), (F.lit(capacity) - F.col("length")).alias("room")))
-    todo = stash.put(todo.where(F.col("length") * 2 <= capacity))
+    todo = stash.put(items.where((F.col("length") > crumb) & (F.col("length") * 2 <= capacity))
+                     .select("item", "length"))
     closed = []
     while True:
         left, least, most = todo.agg(F.count("*"), F.min("length"), F.max("length")).first()
         if not left:
             break
-        room, widest = gaps.where(F.col("room") >= least).agg(F.count("*"), F.max("room")).first()
-        if not room or widest < most:
+        widest = gaps.agg(F.max("room")).first()[0] or 0
+        if widest < most and (left > finish_rows or widest < least):
+            if left <= finish_rows:
+                seqs = _best_fit([tuple(r) for r in todo.select("item", "length").collect()], capacity)
+                done = spark.createDataFrame([x[:3] for x in seqs], "item bigint, seq bigint, offset bigint")
+                placed.append(done)
+                gaps = gaps.unionByName(spark.createDataFrame(
+                    sorted({x[1]: (x[1], x[3]) for x in seqs}.values()), "seq bigint, room bigint"))
+                break
             # The pieces longer than every gap need at least so many sequences.
-            new = math.ceil((todo.where(F.col("length") > (widest or 0)).agg(F.sum("length")).first()[0]) / capacity)
-            opened = _largest(todo, new, part_rows)
-            opened = stash.put(opened)
-            placed.append(opened.select("item", F.col("item").alias("seq"), F.lit(0).cast("bigint").alias("offset")))
+            need = todo.where(F.col("length") > widest).agg(F.sum("length")).first()[0]
+            opened = stash.put(_largest(todo, math.ceil(need / capacity), part_rows))
+            placed.append(opened.select("item", F.col("item").alias("seq"), zero.alias("offset")))
             gaps = gaps.unionByName(opened.select(
                 F.col("item").alias("seq"), (F.lit(capacity) - F.col("length")).alias("room")))
             todo = todo.join(opened.select("item"), "item", "left_anti")
         closed.append(gaps.where(F.col("room") < least))
-        sub = max(1, math.ceil((left + (room or 0)) / part_rows))
+        sub = max(1, math.ceil(left / part_rows))
         done = stash.put(_sweep(todo, gaps.where(F.col("room") >= least), sub))
         hit = done.where("item is not null and seq is not null")
         placed.append(hit.select("item", "seq", (F.lit(capacity) - F.col("room")).alias("offset")))
@@ -202,6 +265,18 @@ def pack(items: DataFrame, capacity: int = 2048, crumb: int = 64, part_rows: int
     return _union(placed)
 
 
+def _best_fit(items: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int]]:
+    """(item, seq, offset, room left in seq) for a bounded list, longest first."""
+    rooms, at, room = [], {}, {}
+    for item, length in sorted(items, key=lambda x: (-x[1], x[0])):
+        k = bisect.bisect_left(rooms, (length, -1))
+        free, seq = rooms.pop(k) if k < len(rooms) else (capacity, item)
+        at[item] = (seq, capacity - free)
+        room[seq] = free - length
+        bisect.insort(rooms, (free - length, seq))
+    return [(item, seq, offset, room[seq]) for item, (seq, offset) in at.items()]
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for df in frames[1:]:

@@ -410,11 +410,13 @@ def test_word_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
     path = queries.tokenizer_path()
     r = random.Random(4)
-    signs = list("abAB'sStT.,!?<|> \n\té12$#\"()İΣ́") + ["<|endoftext|>", "<|ENDOFTEXT|>", "'ll", "\x0b", "\x00", "\u00a0"]
+    signs = list("abAB'sStT.,!?<|> \n\té12$#\"()İΣ́") + ["<|endoftext|>", "<|ENDOFTEXT|>", "'ll", "\x0b", "\x00", "\u00a0",
+                                       "É", "ñ", "ß", "ẞ", "ſ", "Ǆ", "ŉ", "ª", "ö", "Ω", "東"]
     texts = _texts() + ["".join(r.choice(signs) for _ in range(r.randint(0, 50))) for _ in range(3000)]
     want = Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
     ids = packing.WordIds(path)
-    assert [x.tolist() for x in ids.encode(pa.array(texts))] == [e.ids for e in want]
+    for at_once in (400_000, 50):
+        assert [x.tolist() for x in ids.encode(pa.array(texts), at_once)] == [e.ids for e in want]
 
 
 # Sizes just above a third of a sequence are the hard case: which three fit
