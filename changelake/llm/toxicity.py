@@ -6,7 +6,7 @@ the labelled sample starts from the shared state, makes one FTRL pass with
 per-coordinate rates, and the states are averaged; the rarer label counts
 ``positive`` times. L1 keeps most weights at exactly zero. The state has
 ``2**bits`` coordinates whatever the corpus, so its broadcast and what the shards
-send back are bounded (8 MB of state, 4 MB per shard at 19 bits).
+send back are bounded (4 MB of state, 2 MB per shard at 18 bits).
 
 The labelled sample is bounded: about ``sample_rows`` rows, chosen by a hash of
 the id. Rows of the held-out fold (crc32(doc_id) mod ``folds`` = 0) are never
@@ -72,7 +72,7 @@ def _crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = 19,
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = 18,
           sample_rows: int = 16_000, shards: int = 4, rounds: int = 8, alpha: float = 1.0,
           beta: float = 1.0, l1: float = 10.0, l2: float = 0.1, positive: float = 3.0,
           folds: int = 5) -> np.ndarray | None:
@@ -126,16 +126,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
                                  "dn": [(n - state.value[1]).astype("<f4").tobytes()]})
 
         # One row per shard, 2**bits + 1 coordinates each, whatever the input.
-        for delta in rows.select("shard", "y", "x").groupBy("shard").applyInPandas(
-                one_pass, "dz binary, dn binary").collect():
+        deltas = rows.select("shard", "y", "x").groupBy("shard").applyInPandas(
+            one_pass, "dz binary, dn binary").collect()
+        state.destroy()
+        while deltas:
+            delta = deltas.pop()
             z += np.frombuffer(delta.dz, "<f4") / shards
             n += np.frombuffer(delta.dn, "<f4") / shards
-        state.destroy()
     rows.unpersist()
     return weights_of(z, n, alpha, beta, l1, l2)
 
 
-def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 19,
+def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 18,
           keep: tuple[str, ...] | None = None, text: str = "text", name: str = "score") -> DataFrame:
     """``keep`` columns (default all) and the score as ``name``; the text is read
     whole."""
