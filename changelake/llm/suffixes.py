@@ -6,8 +6,8 @@ many times its size, so only some suffixes are kept, chosen by content: in every
 window of ``length`` bytes the k-byte string with the least hash (the leftmost of
 equals) is the window's anchor. Equal windows have their anchor at the same
 place, so two windows can only be equal if the suffixes at their anchors begin
-with the same k bytes (the ``head``). A suffix also carries the digest of all
-the bytes that the windows of its anchor span (``body``).
+with the same k bytes (the ``head``). A suffix also carries the 128-bit digest of
+all the bytes that the windows of its anchor span (``body``).
 
 Suffixes arrive in batches. A batch's array is sorted by (head, body) with equal
 entries counted; as long as the family's last level has about the same size, the
@@ -84,7 +84,7 @@ def anchors(data: np.ndarray, length: int, k: int):
     return head[place[first]].view(np.int64), place[first], first, last
 
 
-_SUFFIX = "_row bigint, head bigint, body int, place int, first int, last int"
+_SUFFIX = "_row bigint, head bigint, body binary, place int, first int, last int"
 
 
 def suffixes(docs: DataFrame, length: int, k: int) -> DataFrame:
@@ -98,15 +98,14 @@ def suffixes(docs: DataFrame, length: int, k: int) -> DataFrame:
                     if data is None or len(data) < length:
                         continue
                     head, place, first, last = anchors(np.frombuffer(data, np.uint8), length, k)
-                    body = np.fromiter((xxhash.xxh3_64_intdigest(data[f:t + length], p - f) for p, f, t in zip(
-                        place.tolist(), first.tolist(), last.tolist())), np.uint64, len(place))
-                    found.append((np.full(len(place), row), head, (body >> np.uint64(32)).astype(np.uint32)
-                                  .view(np.int32), place, first, last))
+                    body = [xxhash.xxh3_128_digest(data[f:t + length], p - f) for p, f, t in zip(
+                        place.tolist(), first.tolist(), last.tolist())]
+                    found.append((np.full(len(place), row), head, np.array(body, object), place, first, last))
                 if found:
                     cols = [np.concatenate(c) for c in zip(*found)]
-                    kinds = [np.int64, np.int64, np.int32, np.int32, np.int32, np.int32]
+                    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c.astype(t)) for c, t in zip(cols, kinds)],
+                        [pa.array(c, t) for c, t in zip(cols, kinds)],
                         ["_row", "head", "body", "place", "first", "last"])
 
     return docs.select("_row", "text").mapInArrow(run, _SUFFIX)

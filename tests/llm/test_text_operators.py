@@ -508,6 +508,28 @@ def test_suffix_dedup_in_shuffled_copies(spark, tmp_path):
     assert got == want
 
 
+def test_bodies_that_share_32_bits_of_a_digest_stay(spark):
+    """Two one-window texts with one head whose 64-bit digests agree in their upper half."""
+    length, k, rng = 64, 16, np.random.default_rng(2)
+    pool = rng.integers(97, 123, (200_000, k), dtype=np.uint8)
+    h = suffixes.block_hashes(pool.reshape(-1), k, suffixes._BASES[0])[::k]
+    order = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
+    head = pool[np.argmin(order)].tobytes()
+    seen = {}
+    for rest in rng.integers(97, 123, (600_000, length - k), dtype=np.uint8):
+        text = head + rest.tobytes()
+        other = seen.setdefault(xxhash.xxh3_64_intdigest(text) >> 32, text)
+        if other != text:
+            break
+    assert other != text
+    one, two = (suffixes.anchors(np.frombuffer(t, np.uint8), length, k) for t in (other, text))
+    assert one[0] == two[0] and one[1] == two[1] == [0]
+    docs = spark.createDataFrame([(0, other.decode()), (1, text.decode()), (2, "q" + text.decode())],
+                                 "doc_id int, text string")
+    got = {x.doc_id: x.n_removed for x in suffixes.remove(docs, length, k).collect()}
+    assert got == {0: 0, 1: length, 2: length}
+
+
 def test_levels_merge_geometrically(spark):
     family = suffixes.Family(spark)
     for b in range(5):
