@@ -4,9 +4,10 @@ Features are the distinct hashed words, word pairs and one-word-gap skip-grams
 of the whole text, each 1 if present. Training runs in rounds: every shard of
 the labelled sample starts from the shared state, makes one FTRL pass with
 per-coordinate rates, and the states are averaged; the rarer label counts
-``positive`` times. L1 keeps most weights at exactly zero. The state has
-``2**bits`` coordinates whatever the corpus, so its broadcast and what the shards
-send back are bounded (4 MB of state, 2 MB per shard at 18 bits).
+``positive`` times. The average is taken on the executors, block by block of the
+coordinates, so the driver gets one state a round and not one from every shard. L1 keeps most weights at exactly zero. The state has
+``2**bits`` coordinates whatever the corpus, so its broadcast and what comes
+back to the driver are bounded (8 MB each a round at 20 bits).
 
 The labelled sample is bounded: about ``sample_rows`` rows, chosen by a hash of
 the id. Rows of the held-out fold (crc32(doc_id) mod ``folds`` = 0) are never
@@ -72,10 +73,10 @@ def _crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = 18,
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = 20,
           sample_rows: int = 16_000, shards: int = 4, rounds: int = 8, alpha: float = 1.0,
           beta: float = 1.0, l1: float = 10.0, l2: float = 0.1, positive: float = 3.0,
-          folds: int = 5) -> np.ndarray | None:
+          folds: int = 5, blocks: int = 16) -> np.ndarray | None:
     """Weights (bias last), or None if there is no labelled row to learn from."""
     spark = docs.sparkSession
     size = (1 << bits) + 1
@@ -106,12 +107,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
         rows.mapInArrow(featurise, "shard bigint, y int, x array<int>"))
     # Dealt to the shards once for all rounds; lost blocks come back from the table.
     rows = rows.repartition(shards, "shard").persist(StorageLevel.MEMORY_AND_DISK)
-    z, n = np.zeros(size), np.zeros(size)
+    z, n = np.zeros(size, np.float32), np.zeros(size, np.float32)
+    edges = [size * b // blocks for b in range(blocks + 1)]
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z, n))
 
         def one_pass(pdf: pd.DataFrame) -> pd.DataFrame:
-            z, n = (v.copy() for v in state.value)
+            z, n = (v.astype(np.float64) for v in state.value)
             order = np.random.default_rng(7).permutation(len(pdf))
             ys, xs = pdf["y"].to_numpy(), pdf["x"].to_numpy()
             for k in order:
@@ -122,22 +124,33 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
                 g *= positive if ys[k] else 1.0
                 z[x] = zx + g - (np.sqrt(nx + g * g) - np.sqrt(nx)) / alpha * w
                 n[x] = nx + g * g
-            return pd.DataFrame({"dz": [(z - state.value[0]).astype("<f4").tobytes()],
-                                 "dn": [(n - state.value[1]).astype("<f4").tobytes()]})
-
-        # One row per shard, 2**bits + 1 coordinates each, whatever the input.
-        deltas = rows.select("shard", "y", "x").groupBy("shard").applyInPandas(
-            one_pass, "dz binary, dn binary").collect()
+            dz, dn = ((v - old).astype("<f4") for v, old in zip((z, n), state.value))
+            return pd.DataFrame({"block": range(blocks), "shard": pdf["shard"].iloc[0],
+                                 "dz": [dz[a:b].tobytes() for a, b in zip(edges, edges[1:])],
+                                 "dn": [dn[a:b].tobytes() for a, b in zip(edges, edges[1:])]})
+
+        def average(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("shard")  # so reruns add in the same order
+            dz, dn = (sum(np.frombuffer(x, "<f4").astype(np.float64) for x in pdf[c]) / shards
+                      for c in ("dz", "dn"))
+            return pd.DataFrame({"block": pdf["block"].iloc[:1], "dz": [dz.astype("<f4").tobytes()],
+                                 "dn": [dn.astype("<f4").tobytes()]})
+
+        kind = "block int, dz binary, dn binary"
+        # 2**bits + 1 coordinates in all, whatever the input and the shards.
+        deltas = (rows.select("shard", "y", "x").groupBy("shard").applyInPandas(one_pass, f"shard bigint, {kind}")
+                  .groupBy("block").applyInPandas(average, kind)).collect()
         state.destroy()
         while deltas:
             delta = deltas.pop()
-            z += np.frombuffer(delta.dz, "<f4") / shards
-            n += np.frombuffer(delta.dn, "<f4") / shards
+            at = slice(edges[delta.block], edges[delta.block + 1])
+            z[at] += np.frombuffer(delta.dz, "<f4")
+            n[at] += np.frombuffer(delta.dn, "<f4")
     rows.unpersist()
     return weights_of(z, n, alpha, beta, l1, l2)
 
 
-def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 18,
+def score(docs: DataFrame, weights: np.ndarray | None, bits: int = 20,
           keep: tuple[str, ...] | None = None, text: str = "text", name: str = "score") -> DataFrame:
     """``keep`` columns (default all) and the score as ``name``; the text is read
     whole."""

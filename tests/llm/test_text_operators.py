@@ -349,6 +349,15 @@ def test_toxicity_learns_words_and_ignores_held_out_labels(spark, docs, none):
     assert toxicity.score(frame, None, keep=("doc_id",)).agg(F.max("score")).first()[0] == 0
 
 
+def test_toxicity_keeps_its_coordinates_and_averages_in_blocks(spark):
+    frame = spark.createDataFrame([(i, f"{'vile' if i % 3 == 0 else 'fine'} word{i % 50}") for i in range(300)],
+                                  "doc_id bigint, text string")
+    labels = frame.select("doc_id", F.col("text").startswith("vile").cast("int").alias("toxic"))
+    assert len(toxicity.train(frame, labels, rounds=1)) == (1 << 20) + 1
+    few = [toxicity.train(frame, labels, bits=8, rounds=2, blocks=b) for b in (1, 7)]
+    assert np.array_equal(*few) and np.count_nonzero(few[0])
+
+
 # ---- chunking ----------------------------------------------------------------
 
 def _gear_cuts(data, mask_bits=5, least=32, most=512):
