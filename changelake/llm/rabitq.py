@@ -68,7 +68,10 @@ def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, sigmas: float, s
     spread = np.sqrt(np.maximum(1 - f * f, 0)) / f
     bound = spread * min(1.0, sigmas / math.sqrt(max(dim - 1, 1))) + 1e-9
     i, j = np.nonzero((code @ rb.T) / f[:, None] + bound[:, None] >= threshold)
-    exact = np.einsum("ij,ij->i", a[i], b[j])
+    exact = np.empty(len(i))
+    for s in range(0, len(i), 1 << 15):  # two blocks of near copies give block^2 pairs
+        e = s + (1 << 15)
+        exact[s:e] = np.einsum("ij,ij->i", a[i[s:e]], b[j[s:e]])
     keep = exact >= threshold
     return i[keep], j[keep]
 
@@ -109,13 +112,14 @@ def links(vectors: DataFrame, threshold: float = 0.98, sigmas: float = 5.0, seed
         "rep", "mult", "label", "dim", "vec", "code", F.posexplode("key").alias("t", "k"))
     bucket = ["label", "dim", "t", "k"]
     # Only buckets over the block size are split.
-    big = (each.groupBy(*bucket).agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
-           .where("nb > 1"))
-    each = each.join(big, bucket, "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
+    big = stash.put(each.groupBy(*bucket).agg(F.count("*").alias("size"), F.ceil(F.count("*") / block).cast("int")
+                                              .alias("nb")).where("nb > 1"))
+    each = each.join(big.drop("size"), bucket, "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
     each = each.withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
     each = each.withColumn("oth", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     each = each.withColumn("p", F.least("blk", "oth")).withColumn("q", F.greatest("blk", "oth"))
-    total = reps.count() * tables
+    # Rows after the explode: a split bucket's rows count once for every block.
+    total = reps.count() * tables + (big.agg(F.sum(F.col("size") * (F.col("nb") - 1))).first()[0] or 0)
     each = each.withColumn("task", F.pmod(F.xxhash64(*bucket, "p", "q"),
                                           F.lit(max(1, math.ceil(total / task_rows)))))
 

@@ -3,10 +3,12 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 from changelake.llm import hilbert, rabitq, urls
@@ -83,6 +85,34 @@ def test_links_equal_brute_force(vectors, no_vectors):
     assert rabitq.links(no_vectors).count() == 0
 
 
+def test_tasks_stay_bounded_on_a_cluster_of_near_copies(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    near = rng.normal(size=16) + rng.normal(size=(400, 16)) * 0.005
+    frame = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(near)],
+                                  "vec_id bigint, label int, embedding array<double>")
+    apply, rows = GroupedData.applyInPandas, []
+
+    def counted(self, *args):
+        rows.append(self._df.groupBy("task").count().agg(F.max("count")).first()[0])
+        return apply(self, *args)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", counted)
+    got = rabitq.links(frame, block=20, task_rows=200).collect()
+    assert {x.n_links for x in got} == {399} and {x.component_id for x in got} == {0}
+    assert rows and max(rows) <= 4 * 200
+
+
+def test_two_blocks_of_near_copies_fit_in_memory():
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=64) + rng.normal(size=(1000, 64)) * 0.005
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    tracemalloc.start()
+    i, _ = rabitq.close_pairs(near, near, 0.98, 5.0, 11)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == 1000 * 1000 and peak < 200 << 20
+
+
 def test_estimates_are_unbiased_and_bounds_hold():
     r = np.random.default_rng(3)
     dim, errors = 64, []
