@@ -28,10 +28,10 @@ class Stash:
         self._n = 0
         self._paths: dict[int, str] = {}
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, **options: str) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n:03d}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         out._stash_path = path
@@ -41,9 +41,11 @@ class Stash:
         for df in frames:
             path = getattr(df, "_stash_path", None)
             if path:
-                jvm = self.spark._jvm
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                self.remove(path)
+
+    def remove(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def fresh(df: DataFrame, stem: str) -> str:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, hilbert, mixing, packing, pii, rabitq, simhash, suffixes, toxicity, urls
+from . import (chunking, hilbert, langid, mixing, packing, pii, rabitq, simhash, suffixes, toxicity, turns, urls,
+               whitening)
 
 #: Token ids come from this public vocabulary file.
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -77,6 +78,22 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"),
+                        "whitened", "explained", "identity_error")
+
+
+def op12_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs)).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op13_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_rabitq": op2_rabitq,
@@ -88,6 +105,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_hilbert": op9_hilbert,
     "op10_suffixes": op10_suffixes,
+    "op11_whitening": op11_whitening,
+    "op12_langid": op12_langid,
+    "op13_turns": op13_turns,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
