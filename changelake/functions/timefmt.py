@@ -36,17 +36,20 @@ def plus_days(ts: Column | str, days: int | Column) -> Column:
 def parse_capture_ts(text: Column | str) -> Column:
     """Capture-time text -> zone-less timestamp; unparseable text -> NULL.
 
-    Accepts ``YYYY-MM-DD HH:MM:SS[.f…]`` and the ISO ``T`` separator. Text with
-    a zone offset (``Z``, ``+05:00``) names an instant and is turned into its
-    UTC wall-clock time; other text is read as UTC wall-clock time. Neither
-    depends on the session zone.
+    Accepts ``YYYY-MM-DD HH:MM:SS[.f…]`` and the ISO ``T`` separator. A date
+    and time followed by anything else must name a zone (``Z``, ``+05:00``,
+    ``Europe/Paris``, ``PST``): the text is an instant, turned into its UTC
+    wall-clock time, or NULL if there is no such zone. Other text is read as UTC
+    wall-clock time. Neither depends on the session zone.
     """
     c = _col(text)
-    zoned = c.rlike(r"[0-9]:[0-9]{2}.*([Zz]|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)$")
+    clock = r"[0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]*)?)?"
+    plain = c.rlike(rf"^\s*[+-]?[0-9]{{4,6}}(-[0-9]{{1,2}}(-[0-9]{{1,2}}([ T]({clock})?)?)?)?\s*$")
+    zoned = c.rlike(rf"^\s*[+-]?[0-9]{{4,6}}-[0-9]{{1,2}}-[0-9]{{1,2}}[ T]{clock}\s*[^\s0-9.:]")
     micros = F.unix_micros(c.try_cast("timestamp"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     instant = epoch + F.make_dt_interval(secs=(micros.cast("decimal(20,0)") / F.lit(1000000)).cast("decimal(18,6)"))
-    return F.when(zoned, instant).otherwise(c.try_cast("timestamp_ntz"))
+    return F.when(plain, c.try_cast("timestamp_ntz")).when(zoned, instant)
 
 
 def hours_between(start: Column | str, end: Column | str) -> Column:

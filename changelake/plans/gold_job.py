@@ -81,7 +81,7 @@ def run_gold(spark: SparkSession, config: RunConfig, gold_root: str,
         raise ValueError("run_gold needs RunConfig.metrics_path (the Silver metrics table)")
     wanted = marts_to_build or MARTS
     needed = sorted({t for _, ts in wanted.values() for t in ts})
-    latest = latest_points(read_metrics(spark, config.metrics_path), config.environment, window_hours)
+    latest = latest_points(read_metrics(spark, config.metrics_path, window_hours), config.environment, window_hours)
     if check_fresh:
         require_fresh(latest, config.stale_after_hours, required=needed)
     silver = {t: read_table(spark, config.paths.silver_table(t)) for t in needed}

@@ -31,8 +31,10 @@ from ..streaming.incremental import compact, current_state, start_change_stream
 from . import marts
 from . import oracle_sql as O
 from .gold_job import CONSERVED, counted_by_marts, expected_by_marts
+from .incremental_silver import apply_new_files, read_quarantine
 from .metrics import (divergence_report, freshness_metrics, layer_divergence, row_count_metrics, stale_alerts,
                       stale_tables)
+from .replay_job import replay_into_silver
 from .silver_job import run_table
 from .specs import FIXTURE_SPECS, SILVER_TABLES, silver_frame
 
@@ -559,6 +561,72 @@ def quarantine_replay(spark, sf):
     return ok.withColumn(ERRORS_COL, F.lit(None).cast("string")).unionByName(still_bad)
 
 
+# ---- incremental Silver (X3, S2, K1) and replay (X2) --------------------------
+
+# Capture times at which the raw logs are cut into deliveries.
+DELIVERY_CUTS = ("1994-01-01", "1996-07-01")
+
+
+def _deliver(spark, sf, config: RunConfig, source: str, n: int) -> None:
+    """Write the n-th delivery of a raw log: events captured between two cuts, and
+    with the last one the first delivery's deletes once more (late and known)."""
+    log, at = raw(spark, sf, source), F.col(CAPTURE_TS_COL)
+    cuts = (None, *DELIVERY_CUTS, None)
+    part = log
+    if cuts[n] is not None:
+        part = part.where(at >= cuts[n])
+    if cuts[n + 1] is not None:
+        part = part.where(at < cuts[n + 1])
+    else:
+        part = part.unionByName(log.where((at < cuts[1]) & (F.col("Op") == "D")))
+    part.write.parquet(f"{config.paths.bronze_table(source)}/delivery{n}")
+
+
+def _apply_deliveries(spark, sf, tables: list[str]) -> RunConfig:
+    """Deliver in three steps; after each one every table takes in its new files.
+    The order lines lag behind the orders, so lines also change with their orders."""
+    cfg = RunConfig(Paths.under(scratch_dir(spark, "incremental")), environment=ENVIRONMENT)
+    sources = [FIXTURE_SPECS[t].source for t in tables]
+    schemas = {s: _fixture_schema(s) for s in sources}
+    for n in range(len(DELIVERY_CUTS) + 1):
+        for s in sources:
+            _deliver(spark, sf, cfg, s, n)
+            for t in tables:
+                if FIXTURE_SPECS[t].source == s or (n and FIXTURE_SPECS[t].parents):
+                    apply_new_files(spark, FIXTURE_SPECS[t], cfg, raw_schemas=schemas, parent_specs=FIXTURE_SPECS)
+    return cfg
+
+
+@register("incremental_fact_payments", _valid_sql("fact_payments") + "select * from valid_fact_payments")
+def incremental_fact_payments(spark, sf):
+    cfg = _apply_deliveries(spark, sf, ["fact_payments"])
+    return read_table(spark, cfg.paths.silver_table("fact_payments"))
+
+
+@register("incremental_fact_order_items", _valid_sql("fact_order_items") + "select * from valid_fact_order_items")
+def incremental_fact_order_items(spark, sf):
+    cfg = _apply_deliveries(spark, sf, ["fact_orders", "fact_order_items"])
+    return read_table(spark, cfg.paths.silver_table("fact_order_items"))
+
+
+@register("incremental_quarantine", _ann("fact_orders") +
+          "select * from annotated_fact_orders where _validation_errors is not null")
+def incremental_quarantine(spark, sf):
+    cfg = _apply_deliveries(spark, sf, ["fact_orders"])
+    return read_quarantine(spark, cfg.paths.silver_table("fact_orders"))
+
+
+@register("silver_after_replay", _ann("fact_payments") + ", replayed as (select * exclude (_validation_errors), "
+          f"{O.errors_sql(_X2_RULES)} as errors from annotated_fact_payments where _validation_errors is not null)\n"
+          "select * exclude (_validation_errors) from annotated_fact_payments where _validation_errors is null\n"
+          "union all select * exclude (errors) from replayed where errors is null")
+def silver_after_replay(spark, sf):
+    cfg, _ = _run_to_disk(spark, sf, "fact_payments")
+    for _ in range(2):      # the second time nothing is left to publish
+        replay_into_silver(spark, FIXTURE_SPECS["fact_payments"], cfg, _X2_RULES)
+    return read_table(spark, cfg.paths.silver_table("fact_payments"))
+
+
 @register("stream_current_state", _with(O.bronze_cte("events")) + O.live_sql("events"))
 def stream_current_state(spark, sf):
     root = scratch_dir(spark, "stream")

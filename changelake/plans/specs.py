@@ -31,6 +31,8 @@ class TableSpec:
     tie_breakers: tuple[str, ...] = ()
     parents: tuple[str, ...] = ()   # source tables whose live rows `project` joins
     parent_columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    partition_date: str | None = None   # date (own or borrowed) whose year and month are `partition_by`
+    project_borrowed: Callable[[DataFrame], DataFrame] | None = None   # `project` of rows that hold what they borrow
 
     def with_(self, **changes) -> TableSpec:
         return replace(self, **changes)
@@ -56,7 +58,10 @@ def _fact_orders(live: DataFrame, _parents) -> DataFrame:
 def _fact_order_items(live: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
     items = live.select("order_item_id", "order_id", "product_id", "quantity", "unit_price",
                         "line_total")
-    joined = attach_parent(items, parents["orders"], on="order_id")
+    return _dated_items(attach_parent(items, parents["orders"], on="order_id"))
+
+
+def _dated_items(joined: DataFrame) -> DataFrame:
     return joined.select("order_item_id", "order_id", "product_id", "quantity", "unit_price",
                          "line_total",
                          year_of("order_date").alias("order_year"),
@@ -145,18 +150,23 @@ SPECS: dict[str, TableSpec] = {
                               DIM_CUSTOMER_RULES),
     "dim_product": TableSpec("dim_product", "products", ("product_id",), _dim_product,
                              DIM_PRODUCT_RULES),
+    # Order lines borrow the order's date, so ties of orders fall to it first:
+    # then a scan of only that column finds the same winner as one of all.
     "fact_orders": TableSpec("fact_orders", "orders", ("order_id",), _fact_orders,
-                             FACT_ORDERS_RULES, partition_by=("order_year", "order_month")),
+                             FACT_ORDERS_RULES, partition_by=("order_year", "order_month"),
+                             tie_breakers=("order_date",), partition_date="order_date"),
     "fact_order_items": TableSpec("fact_order_items", "order_items", ("order_item_id",),
                                   _fact_order_items, FACT_ORDER_ITEMS_RULES,
                                   partition_by=("order_year", "order_month"),
                                   parents=("orders",),
-                                  parent_columns={"orders": ("order_id", "order_date")}),
+                                  parent_columns={"orders": ("order_id", "order_date")},
+                                  partition_date="order_date", project_borrowed=_dated_items),
     "fact_payments": TableSpec("fact_payments", "payments", ("payment_id",), _fact_payments,
-                               FACT_PAYMENTS_RULES, partition_by=("payment_year", "payment_month")),
+                               FACT_PAYMENTS_RULES, partition_by=("payment_year", "payment_month"),
+                               partition_date="payment_date"),
     "fact_shipments": TableSpec("fact_shipments", "shipments", ("shipment_id",), _fact_shipments,
                                 FACT_SHIPMENTS_RULES,
-                                partition_by=("shipped_year", "shipped_month")),
+                                partition_by=("shipped_year", "shipped_month"), partition_date="shipped_date"),
 }
 
 # The driver-derived item log repeats (order_id, line_number) across versions
@@ -170,32 +180,38 @@ SILVER_TABLES = tuple(SPECS)
 
 
 def live_parent(spec: TableSpec, parent: str, raw_parent: DataFrame,
-                parent_spec: TableSpec | None = None) -> DataFrame:
+                parent_spec: TableSpec | None = None, order_as: str = "string") -> DataFrame:
     """Live rows of a parent log, narrowed to the columns the child borrows.
 
-    The narrow ``select`` is applied before reconciliation so the scan reads
-    only the capture columns, the key and the borrowed columns.
+    The newest version must be the one that the parent's own table keeps. Where
+    the parent's ties fall to the borrowed columns first, rows that still tie
+    agree on them, so the narrow ``select`` goes before the reconciliation and
+    the scan reads only the capture columns, the key and the borrowed columns.
+    Otherwise all columns are read, as the whole row decides.
     """
     cols = spec.parent_columns.get(parent)
     keys = parent_spec.keys if parent_spec else (cols[0],)
     ties = parent_spec.tie_breakers if parent_spec else ()
     raw = raw_parent
-    if cols:
+    if cols and set(cols) <= {*keys, *ties}:
         raw = raw_parent.select("Op", "_dms_timestamp", *dict.fromkeys((*keys, *ties, *cols)))
-    live = reconcile(raw, keys, tie_breakers=ties)
+    live = reconcile(raw, keys, tie_breakers=ties, order_as=order_as)
     return live.select(*cols) if cols else live
 
 
 def silver_frame(spec: TableSpec, raw: DataFrame, raw_parents: Mapping[str, DataFrame] | None = None,
                  parent_specs: Mapping[str, TableSpec] | None = None, *,
-                 order_as: str = "string", null_keys: str = "group") -> DataFrame:
-    """Raw change log -> projected Silver rows (before validation)."""
+                 order_as: str = "string", null_keys: str = "group",
+                 live_parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Raw change log -> projected Silver rows (before validation). Parents come
+    as raw logs, or as ``live_parents`` that were reconciled before."""
     live = reconcile(raw, spec.keys, tie_breakers=spec.tie_breakers, order_as=order_as,
                      null_keys=null_keys)
-    parents = {}
+    parents = dict(live_parents or {})
     by_source = {s.source: s for s in (parent_specs or {}).values()}
     for p in spec.parents:
-        parents[p] = live_parent(spec, p, (raw_parents or {})[p], by_source.get(p))
+        if p not in parents:
+            parents[p] = live_parent(spec, p, (raw_parents or {})[p], by_source.get(p), order_as)
     return spec.project(live, parents)
 
 

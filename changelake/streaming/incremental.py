@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from ..functions.timefmt import parse_capture_ts
 from ..operators.cdc import drop_deleted, op_rank
 from ..schemas import CAPTURE_TS_COL, OP_COL
-from ..sinks.parquet import delete_folder, get_text, put_text
+from ..sinks.versions import delete_folder, get_text, put_text
 
 BATCH_COL = "batch_id"
 _LATEST = "_latest"
