@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,9 +58,42 @@ def fresh(df: DataFrame, stem: str) -> str:
 
 
 def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Number the rows of a stored table. The numbers follow the file splits, so
-    every read of the same files gives the same numbers."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Number the rows of a stored table: a long from the file's path and the
+    row's place in the file. Every read of the same files gives a row the same
+    number, however Spark splits them and however many cores there are.
+
+    The upper bits are as many leading bits of the path's hash as tell all files
+    apart (one hash a file comes to the driver, which holds the list of files
+    anyway, as Spark's own index); the rest is the place in the file, and a file
+    too long for it raises an error. A frame that is not read from files is
+    numbered by partition: its numbers hold only while its partitions stay the
+    same, so store it first.
+    """
+    files = df.inputFiles()
+    path, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    if files:
+        try:
+            bits = _path_bits(df.select(F.xxhash64(path)), files)
+        except AnalysisException:   # a frame made from files in tasks
+            files = []
+    if not files:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    file_no = F.shiftrightunsigned(F.xxhash64(path), 64 - bits)
+    fits = F.when(at < (1 << (63 - bits)), at).otherwise(
+        F.raise_error(F.lit("a file has more rows than its row numbers can hold")).cast("bigint"))
+    return df.withColumn(name, F.shiftleft(file_no, 63 - bits).bitwiseOR(fits))
+
+
+_bits_of: dict[int, int] = {}
+
+
+def _path_bits(hashes: DataFrame, files: list[str]) -> int:
+    """Leading bits that tell the paths' hashes apart; known per set of files."""
+    key = hash(tuple(sorted(files)))
+    if key not in _bits_of:
+        found = np.array([r[0] for r in hashes.distinct().collect()], np.int64).view(np.uint64)
+        _bits_of[key] = next(b for b in range(1, 63) if len(np.unique(found >> np.uint64(64 - b))) == len(found))
+    return _bits_of[key]
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):

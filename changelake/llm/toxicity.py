@@ -16,7 +16,8 @@ learnt from. Scoring reads every row.
 Defined results: a null text counts as empty; a text without features gets the
 score of the bias alone. Null ids are never learnt from and not held out. Of
 several labels for one id the highest counts; null labels are ignored. Without
-any labelled row every score is 0. Repeated rows are scored alike.
+any labelled document, be there labels or not, every score is 0. Repeated rows are
+scored alike.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
           sample_rows: int = 16_000, shards: int = 4, rounds: int = 8, alpha: float = 1.0,
           beta: float = 1.0, l1: float = 10.0, l2: float = 0.1, positive: float = 3.0,
           folds: int = 5, blocks: int = 16) -> np.ndarray | None:
-    """Weights (bias last), or None if there is no labelled row to learn from."""
+    """Weights (bias last), or None if there is no labelled document to learn from."""
     spark = docs.sparkSession
     size = (1 << bits) + 1
     ids = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -105,6 +106,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
 
     rows = Stash(spark, "toxicity").put(
         rows.mapInArrow(featurise, "shard bigint, y int, x array<int>"))
+    if not rows.limit(1).count():
+        return None   # labels of other documents only
     # Dealt to the shards once for all rounds; lost blocks come back from the table.
     rows = rows.repartition(shards, "shard").persist(StorageLevel.MEMORY_AND_DISK)
     z, n = np.zeros(size, np.float32), np.zeros(size, np.float32)

@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from changelake.llm import chunking, mixing, packing, pii, queries, simhash, suffixes, toxicity
+from changelake.llm.common import with_row
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, _row string, "
@@ -302,11 +303,35 @@ _by_row = {}
 
 def _text_of(docs, r):
     if not _by_row:
-        _by_row.update({x._n: x.text or "" for x in docs.select(
-            F.monotonically_increasing_id().alias("_n"), "text").collect()})
+        _by_row.update({x._n: x.text or "" for x in with_row(docs, "_n").select("_n", "text").collect()})
     return _by_row[r._row]
 
 
+def test_rows_keep_their_numbers_however_files_are_split(spark, tmp_path):
+    """Numbers stored at one parallelism fit a read at another, so spans and cuts
+    found at one find their documents at the other."""
+    path = str(tmp_path / "t")
+    _docs(spark, _texts(seed=8, n=150)).repartition(5).write.option("parquet.block.size", 4096).parquet(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    try:
+        for size in ("128m", "3k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            docs = spark.read.parquet(path)
+            numbered = with_row(docs, "n")
+            rows = {(r.n, r.doc_id, r.text) for r in numbered.collect()}
+            assert len({r[0] for r in rows}) == docs.count()
+            spans = {tuple(r) for r in chunking.repeats(docs).select("_row", "spans").collect()}
+            cuts = {tuple(r) for r in suffixes.remove(docs).select("_row", "doc_id", "kept_sha256").collect()}
+            kept = sorted(r.doc_id for r in simhash.keep_one(docs).where("doc_id is not null").collect())
+            clean = sorted((r.doc_id or -1, r.text or "") for r in pii.sanitise(docs).collect())
+            mixed = Counter(r.doc_id for r in mixing.mix(docs).collect())
+            seen.append((docs.rdd.getNumPartitions(), rows, spans, cuts, kept, clean, mixed))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert seen[0][0] < seen[1][0] and seen[0][1:] == seen[1][1:]
+
+
 def test_mixing_empty_and_wordless_tables(spark, none, tmp_path):
     assert mixing.plan(none).count() == 0
     path = str(tmp_path / "t")
@@ -378,7 +403,7 @@ def test_chunk_cuts_equal_the_rolling_hash():
 
 
 def test_repeats_equal_brute_force(docs, none):
-    rows = docs.select(F.monotonically_increasing_id().alias("n"), "doc_id", "text").collect()
+    rows = with_row(docs, "n").select("n", "doc_id", "text").collect()
     rows.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.n))
     seen, count, per = set(), Counter(), []
     for r in rows:
@@ -461,7 +486,7 @@ def test_pieces_rebuild_every_document(spark, docs, none):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(queries.tokenizer_path())
     got = packing.pack_documents(docs, queries.tokenizer_path()).collect()
-    rows = docs.select(F.monotonically_increasing_id().alias("n"), "doc_id", "text").collect()
+    rows = with_row(docs, "n").select("n", "doc_id", "text").collect()
     by = defaultdict(list)
     for x in got:
         by[x._row].append(x)
@@ -491,7 +516,7 @@ def _removed(texts, length):
 
 @pytest.mark.parametrize("batches,hot", [(1, 20_000), (2, 20_000), (3, 2)])
 def test_suffix_dedup_equals_brute_force(spark, docs, none, batches, hot):
-    rows = docs.select(F.monotonically_increasing_id().alias("n"), "doc_id", "text").collect()
+    rows = with_row(docs, "n").select("n", "doc_id", "text").collect()
     texts = [(r.text or "").encode() for r in rows]
     want = []
     for r, t, hit in zip(rows, texts, _removed(texts, 200)):
