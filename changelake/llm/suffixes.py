@@ -180,9 +180,13 @@ def repeated_spans(docs: DataFrame, text_rows: DataFrame, length: int, k: int, b
     spark = docs.sparkSession
     stash = Stash(spark, "suffixes")
     every = stash.put(suffixes(text_rows, length, k))
+    # A head that is met once starts no repeated string: its suffix goes first.
+    often = stash.put(every.groupBy("head").agg(F.count("*").alias("times")).where("times > 1").select("head"))
+    some = stash.put(every.join(often, "head", "left_semi").select(*every.columns))
+    stash.drop(every, often)
     family = Family(spark)
     for b in range(batches):
-        family.add(every.where(F.pmod(F.xxhash64("_row"), F.lit(batches)) == b))
+        family.add(some.where(F.pmod(F.xxhash64("_row"), F.lit(batches)) == b))
     array = family.scan()
     heads = (array.groupBy("head").agg(F.sum("n").alias("all"), F.count("*").alias("bodies"),
                                        F.count_if(F.col("n") == 1).alias("single"))
@@ -191,8 +195,8 @@ def repeated_spans(docs: DataFrame, text_rows: DataFrame, length: int, k: int, b
     known = (array.join(heads, "head").select(
         "head", "body", (F.col("n") > 1).alias("whole"), (F.col("single") > 0).alias("wanted"),
         (F.col("bodies") > hot).alias("crowd")))
-    place = every.join(known, ["head", "body"])
-    place = stash.put(place)
+    place = stash.put(some.join(known, ["head", "body"]))
+    stash.drop(some, *(level for _, level in family.levels))
     whole = place.where("whole").select("_row", F.col("first").cast("bigint").alias("s"),
                                         (F.col("last") + length).cast("bigint").alias("e"))
     one = (place.where("whole and wanted").groupBy("head", "body")
