@@ -103,6 +103,7 @@ def score_texts(texts: DataFrame, order: int = 4) -> DataFrame:
 
     ratio = (found.groupBy("gram").agg(orders.alias("o"))
              .select("gram", (F.log(fold_in("a", "na", "ta")) - F.log(fold_in("b", "nb", "tb"))).alias("ratio")))
+    ratio = stash.put(ratio)   # then AQE can split a string that very many urls have
     total = (grams.select("text", "gram", "times").join(ratio, "gram")
              .groupBy("text").agg(F.sum(F.col("times") * F.col("ratio")).alias("sum")))
     classes = texts.where("learn").agg(F.max("allowed"), F.max("blocked")).first()
