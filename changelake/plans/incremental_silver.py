@@ -24,6 +24,12 @@ child has seen is in the child's manifest; the parent partitions that differ
 since then say which parents changed, and their children take part as if they
 had events. If the older parent version is gone, all children are looked at.
 
+Deletes are kept in the state for good, or with ``forget_deletes_days`` until they
+are that much older than the newest event, so that the state follows the live
+keys. A later event that is older than this horizon and whose key the state does
+not know could belong to a forgotten delete: it is set aside in the ``late``
+section, never applied and never lost.
+
 The result equals a full run over all files (tested after every batch). Work per
 run: the new files, the key columns of the state, and the touched partitions.
 """
@@ -38,11 +44,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, StructType
 
 from ..config import RunConfig
-from ..functions.timefmt import month_of, year_of
+from ..functions.timefmt import month_of, parse_capture_ts, year_of
 from ..operators.cdc import drop_deleted, latest_per_key
 from ..operators.joins import attach_parent, measured
 from ..operators.quality import ERRORS_COL, annotate, invalid_rows, valid_rows
-from ..schemas import CAPTURE_TS_COL, OP_COL, bronze_schema
+from ..schemas import CAPTURE_TS_COL, OP_COL, OP_DELETE, bronze_schema
 from ..session import scratch_dir
 from ..sinks import versions
 from ..sinks.parquet import record_metrics, register_version, write_quarantine, write_silver
@@ -51,7 +57,7 @@ from ..sources.bronze import check_layouts, list_files, read_bronze
 from .metrics import freshness_metrics, require_rows, row_count_metrics
 from .specs import SPECS, TableSpec
 
-STATE, QUARANTINE, FILES = "state", "quarantine", "files"
+STATE, QUARANTINE, FILES, LATE = "state", "quarantine", "files", "late"
 BUCKET = "_bucket"
 FILES_SCHEMA = "path string, modified timestamp, bytes bigint"
 #: File lists of so many runs are folded into one.
@@ -185,7 +191,7 @@ def apply_new_files(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
                     parent_specs: Mapping[str, TableSpec] = SPECS, timestamp_type: DataType | None = None,
                     order_as: str = "string", null_keys: str = "group", check_schema: str = "error",
                     max_files: int = 10_000, buckets: int = 16, register: bool = False,
-                    keep_versions: int = 4) -> IncrementalRun | None:
+                    keep_versions: int = 4, forget_deletes_days: float | None = None) -> IncrementalRun | None:
     """Take in change files that no version of the Silver table has seen.
 
     At most ``max_files`` (oldest first) go into one version; runs are repeated
@@ -196,7 +202,7 @@ def apply_new_files(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
     done = None
     while True:
         step = _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type, order_as, null_keys,
-                           check_schema, max_files, buckets, register, keep_versions)
+                           check_schema, max_files, buckets, register, keep_versions, forget_deletes_days)
         if step is None:
             return done
         if done is not None:
@@ -206,7 +212,7 @@ def apply_new_files(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
 
 
 def _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type, order_as, null_keys, check_schema,
-                max_files, buckets, register, keep_versions) -> IncrementalRun | None:
+                max_files, buckets, register, keep_versions, forget_deletes_days) -> IncrementalRun | None:
     paths = config.paths
     root = paths.silver_table(spec.name)
     by_source = {s.source: s for s in parent_specs.values()}
@@ -262,6 +268,21 @@ def _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type,
         narrow = state.select(*spec.keys, *columns)
         hits = narrow.alias("s").join(measured(spark, steps.put(wanted)).alias("w"),
                                       _same_key("s", "w", spec.keys), "left_semi").select(*spec.keys, *columns)
+        horizon = base.facts.get("horizon") if held is not None else None
+        late = None
+        if horizon is not None:
+            hits = steps.put(hits)
+            old_event = parse_capture_ts(CAPTURE_TS_COL) < F.lit(horizon).cast("timestamp_ntz")
+            unknown = fresh.where(old_event).alias("f").join(
+                hits.alias("h"), _same_key("f", "h", spec.keys), "left_anti")
+            late = steps.put(unknown.where(~_null_key(spec.keys)) if null_keys == "keep" else unknown)
+            fresh = steps.put(fresh.alias("f").join(late.alias("l"), _same_key("f", "l", spec.keys), "left_anti")
+                              if null_keys == "group" else
+                              fresh.where(_null_key(spec.keys)).unionByName(
+                                  fresh.where(~_null_key(spec.keys)).alias("f").join(
+                                      late.alias("l"), _same_key("f", "l", spec.keys), "left_anti")))
+            wanted = fresh.select(*spec.keys).where(
+                ~_null_key(spec.keys) if null_keys == "keep" else F.lit(True))
         for p in moved:
             parent_root, now, parent_schema = parents[p]
             was = versions.manifest(spark, parent_root, seen[p]) if p in seen else None
@@ -294,7 +315,15 @@ def _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type,
         # Only the touched partitions are written anew.
         rest = versions.read_section(spark, root, held, schema, parts).alias("s").join(
             measured(spark, all_keys).alias("w"), _same_key("s", "w", spec.keys), "left_anti").select(*schema.names)
-        write_silver(rest.unionByName(winners), versions.attempt_path(root, attempt, STATE), columns)
+        newest = max((t for t in (base.facts.get("max_capture_ts") if held is not None else None, batch_max)
+                      if t is not None), default=None)
+        kept_rows = rest.unionByName(winners)
+        if forget_deletes_days is not None and newest is not None:
+            horizon = _later(horizon, _days_before(spark, newest, forget_deletes_days))
+            gone = (F.col(OP_COL) == OP_DELETE) & (parse_capture_ts(CAPTURE_TS_COL)
+                                                   < F.lit(horizon).cast("timestamp_ntz"))
+            kept_rows = kept_rows.where(~F.coalesce(gone, F.lit(False)))
+        write_silver(kept_rows, versions.attempt_path(root, attempt, STATE), columns)
         state_now = versions.written_section(spark, root, attempt, STATE, columns, [])
         new_state = versions.read_section(spark, root, state_now, schema)
         annotated = steps.put(_annotated(spec, new_state, buckets))
@@ -308,8 +337,6 @@ def _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type,
         counts.update(versions.count_by_part(annotated, columns, valid=F.count_if(F.col(ERRORS_COL).isNull()),
                                              invalid=F.count_if(F.col(ERRORS_COL).isNotNull())))
         valid_n, bad_n = (sum(c[k] for c in counts.values()) for k in ("valid", "invalid"))
-        newest = max((t for t in (base.facts.get("max_capture_ts") if held is not None else None, batch_max)
-                      if t is not None), default=None)
         if config.fail_on_empty:
             require_rows(spec.name, valid_n)
 
@@ -323,8 +350,9 @@ def _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type,
         write_quarantine(invalid_rows(annotated).drop(BUCKET), paths.quarantine_table(spec.name),
                          f"{config.run_id}-v{number}")
         sections[FILES] = _file_lists(spark, root, attempt, base.sections.get(FILES) if held is not None else None)
+        sections.update(_late_rows(spark, root, attempt, late, base.sections.get(LATE) if held is not None else None))
         version = versions.commit(spark, root, base, config.run_id, sections, {
-            "how": how, "counts": counts, "valid_rows": valid_n, "quarantined_rows": bad_n, "max_capture_ts": newest,
+            "how": how, "horizon": horizon, "counts": counts, "valid_rows": valid_n, "quarantined_rows": bad_n, "max_capture_ts": newest,
             "parents": {p: now.version for p, (_, now, _) in parents.items()}})
     except BaseException:
         versions.drop_attempt(spark, root, attempt)
@@ -370,6 +398,31 @@ def _file_lists(spark: SparkSession, root: str, attempt: str, before: Section |
     return Section([], {"": lists})
 
 
+def _days_before(spark: SparkSession, newest: str, days: float) -> str | None:
+    at = parse_capture_ts(F.lit(newest)) - F.make_dt_interval(secs=F.lit(days * 86400).cast("decimal(18,6)"))
+    return spark.range(1).select(at.cast("string")).first()[0]
+
+
+def _later(a: str | None, b: str | None) -> str | None:
+    return max((x for x in (a, b) if x is not None), default=None)
+
+
+def _late_rows(spark: SparkSession, root: str, attempt: str, late: DataFrame | None,
+               before: Section | None) -> dict[str, Section]:
+    """Events set aside so far, if any."""
+    folders = list(before.folders.get("", [])) if before else []
+    if late is not None and late.limit(1).count():
+        late.write.parquet(versions.attempt_path(root, attempt, LATE))
+        folders += versions.written_section(spark, root, attempt, LATE).folders[""]
+    return {LATE: Section([], {"": folders})} if folders else {}
+
+
+def read_late(spark: SparkSession, root: str, raw: StructType) -> DataFrame:
+    """Raw events that came after deletes of their time had been forgotten."""
+    now = versions.latest(spark, root)
+    return versions.read_section(spark, root, now.sections.get(LATE) if now else None, raw)
+
+
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     """The rows of the newest version that fail a rule, with the rules' names."""
     now = versions.latest(spark, root)

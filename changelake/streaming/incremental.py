@@ -13,7 +13,7 @@ is the newest emitted row per key (highest batch id) minus deletes, which
 equals the batch ``reconcile`` of the whole log.
 
 ``compact`` folds the batches so far into one snapshot, publishes it by a
-pointer and removes the batch folders before it: ``current_state`` reads the
+pointer and removes what the pointer before it no longer needed: ``current_state`` reads the
 snapshot and only the batches after it, so a read's cost follows the keys and the
 batches since, not the history.
 """
@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from ..functions.timefmt import parse_capture_ts
 from ..operators.cdc import drop_deleted, op_rank
 from ..schemas import CAPTURE_TS_COL, OP_COL
-from ..sinks.versions import delete_folder, get_text, put_text
+from ..sinks.versions import delete_folder, folder_names, get_text, put_text
 
 BATCH_COL = "batch_id"
 _LATEST = "_latest"
@@ -117,8 +117,9 @@ def compact(spark: SparkSession, state_root: str, keys: Sequence[str]) -> int |
     return the last batch in it, or None without batches.
 
     The snapshot's folder is named after that batch, so doing it again writes
-    the same; readers move over when the pointer is replaced. The folders of the
-    folded batches go, except the last (the folder list must not be empty).
+    the same; readers move over when the pointer is replaced. One generation
+    stays for readers that have planned on the pointer before: the snapshot it
+    named and the batches after it go with the next compaction.
     """
     root = state_root.rstrip("/")
     changes = spark.read.parquet(f"{root}/changes")
@@ -126,13 +127,14 @@ def compact(spark: SparkSession, state_root: str, keys: Sequence[str]) -> int |
     before = get_text(spark, f"{root}/snapshots/CURRENT")
     if upto is None or (before is not None and int(before) >= upto):
         return None if before is None else int(before)
-    old = [r[0] for r in changes.select(BATCH_COL).distinct().collect()]   # batches since the last time
     newest = _newest_emitted(spark, state_root, keys)
     newest.write.mode("overwrite").parquet(f"{root}/snapshots/upto={upto}")
     put_text(spark, f"{root}/snapshots/CURRENT", str(upto))
     if before is not None:
-        delete_folder(spark, f"{root}/snapshots/upto={before}")
-    for b in old:
-        if int(b) < upto:
-            delete_folder(spark, f"{root}/changes/{BATCH_COL}={b}")
+        for name in folder_names(spark, f"{root}/snapshots"):
+            if name.startswith("upto=") and int(name[5:]) < int(before):
+                delete_folder(spark, f"{root}/snapshots/{name}")
+        for name in folder_names(spark, f"{root}/changes"):     # batches since the compaction before the last
+            if name.startswith(f"{BATCH_COL}=") and int(name.split("=")[1]) <= int(before):
+                delete_folder(spark, f"{root}/changes/{name}")
     return upto

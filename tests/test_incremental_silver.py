@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from changelake.config import Paths, RunConfig
-from changelake.plans.incremental_silver import FILES, QUARANTINE, STATE, apply_new_files, read_quarantine
+from changelake.plans.incremental_silver import FILES, QUARANTINE, STATE, apply_new_files, read_late, read_quarantine
 from changelake.plans.metrics import GateError
 from changelake.plans.replay_job import read_replayed, replay_into_silver
 from changelake.plans.silver_job import run_table
@@ -245,6 +245,35 @@ def test_drifted_files_are_refused(lake, spark):
         lake.apply("fact_orders")
 
 
+def test_forgotten_deletes_are_never_revived(lake, spark):
+    """The state follows the live keys; within the bound a late event loses to
+    the delete, beyond it the event is set aside."""
+    how = {"forget_deletes_days": 40}
+    root = lake.config.paths.silver_table("fact_orders")
+
+    def state():
+        now = versions.latest(spark, root)
+        return {r.order_id: r.Op for r in versions.read_section(spark, root, now.sections[STATE]).collect()}
+    lake.deliver("orders", [_order("I", T(1), str(k), "2023-01-05") for k in range(6)], "load")
+    lake.apply("fact_orders", **how)
+    lake.deliver("orders", [_order("D", T(2), str(k), "2023-01-05") for k in range(4)], "b1")
+    lake.apply("fact_orders", **how)
+    assert state() == {0: "D", 1: "D", 2: "D", 3: "D", 4: "I", 5: "I"}
+    lake.deliver("orders", [_order("U", "2024-01-20 00:00:00.000000", "0", "2023-01-05")], "late1")
+    lake.apply("fact_orders", **how)                    # within the bound: the delete wins
+    lake.check("fact_orders")
+    lake.deliver("orders", [_order("U", T(6), "4", "2023-01-05")], "b2")
+    lake.apply("fact_orders", **how)                    # the deletes are forgotten
+    assert state() == {4: "U", 5: "I"}
+    lake.check("fact_orders")
+    lake.deliver("orders", [_order("U", "2024-01-25 00:00:00.000000", "1", "2023-01-05"),
+                            _order("U", T(2), "5", "2023-01-06"), _order("I", T(6), "7", "2023-01-05")], "late2")
+    lake.apply("fact_orders", **how)
+    assert state() == {4: "U", 5: "U", 7: "I"}          # key 5 is known, so its old event counts
+    assert [r.order_id for r in read_late(spark, root, SCHEMAS["orders"]).collect()] == [1]
+    assert {r.order_id for r in read_table(spark, root).collect()} == {4, 5, 7}
+
+
 # ---- replay ---------------------------------------------------------------------
 
 def _payment(op, ts, key, amount, day="2023-01-05"):
