@@ -211,6 +211,15 @@ def apply_new_files(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
         done = step
 
 
+def apply_all(spark: SparkSession, config: RunConfig, specs: Mapping[str, TableSpec] = SPECS,
+              **kw) -> dict[str, IncrementalRun | None]:
+    """New files of every table of ``specs``, parents before their children."""
+    done = {}
+    for name in sorted(specs, key=lambda n: (len(specs[n].parents), not n.startswith("dim_"), n)):
+        done[name] = apply_new_files(spark, specs[name], config, parent_specs=specs, **kw)
+    return done
+
+
 def _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type, order_as, null_keys, check_schema,
                 max_files, buckets, register, keep_versions, forget_deletes_days) -> IncrementalRun | None:
     paths = config.paths

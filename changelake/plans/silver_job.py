@@ -36,7 +36,7 @@ from ..sinks.parquet import record_metrics, register_table, register_version, wr
 from ..sinks.versions import ROWS, delete_folder
 from ..sources.bronze import check_layouts, read_bronze
 from .metrics import GateError, freshness_metrics, require_rows, row_count_metrics
-from ..operators.joins import drop_stored, store_bucketed
+from ..operators.joins import drop_stored, measured, store_bucketed, stored
 from .specs import SPECS, TableSpec, live_parent, silver_frame
 
 
@@ -75,8 +75,11 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
               parent_specs: Mapping[str, TableSpec] = SPECS, timestamp_type: DataType | None = None,
               order_as: str = "string", null_keys: str = "group",
               register: bool = False, materialize: str = "table", publish: str = "versioned",
-              check_schema: str = "error") -> TableRun:
-    """``check_schema``: what to do when files that the job reads itself lack a
+              check_schema: str = "error", broadcast_parents_up_to: int | None = None) -> TableRun:
+    """``broadcast_parents_up_to``: join a parent by broadcast if its live rows,
+    stored and measured, take no more bytes than this.
+
+    ``check_schema``: what to do when files that the job reads itself lack a
     column or hold one of another type (``error``, ``warn`` or ``off``). Their
     footers then also say how many raw rows there are.
 
@@ -100,6 +103,12 @@ def run_table(spark: SparkSession, spec: TableSpec, config: RunConfig, *,
     if raw_parents is None:
         raw_parents = {p: read(p) for p in spec.parents if p not in (live_parents or {})}
 
+    if broadcast_parents_up_to is not None:
+        by_source = {s.source: s for s in parent_specs.values()}
+        live_parents = {p: measured(spark, stored((live_parents or {}).get(p) or live_parent(
+            spec, p, raw_parents[p], by_source.get(p), order_as), f"live-{p}"), broadcast_parents_up_to)
+            for p in spec.parents}
+
     tag = uuid.uuid4().hex[:8]
     raw_obs = Observation(f"raw_{spec.name}_{tag}")
     observed_raw = raw.observe(raw_obs, F.max(CAPTURE_TS_COL).alias("max_capture_ts"),

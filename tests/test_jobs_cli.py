@@ -9,8 +9,8 @@ from changelake.__main__ import main
 from changelake.config import Paths, RunConfig
 from changelake.plans.gold_job import MARTS, run_gold
 from changelake.plans.metrics import GateError
-from changelake.plans.silver_job import run_all
-from changelake.plans.specs import SPECS
+from changelake.plans.silver_job import run_all, run_table
+from changelake.plans.specs import FIXTURE_SPECS, SPECS
 from changelake.sinks.parquet import read_table
 from changelake.sources import fixtures as fx
 from changelake.sources.fixtures import write_change_log
@@ -39,6 +39,32 @@ def test_cli_runs_silver_tables(spark, bronze_root, capsys):
     assert got["dim_customer"]["valid_rows"] == 130
 
 
+def test_cli_takes_in_new_files_only(spark, bronze_root, capsys):
+    p = Paths.under(bronze_root)
+    args = ["--BRONZE_PATH", p.bronze_root, "--SILVER_PATH", p.silver_root, "--QUARANTINE_PATH", p.quarantine_root,
+            "--TABLE", "fact_orders", "--INCREMENTAL"]
+
+    def run():
+        assert main(args) == 0
+        return [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")][0]
+    first = run()
+    assert first["valid_rows"] == 1301 and first["files"] > 1
+    assert run()["files"] == 0
+    assert read_table(spark, p.silver_table("fact_orders")).count() == 1301
+
+
+def test_broadcast_of_measured_parents_gives_the_same_rows(spark, bronze_root):
+    raws = {s: fx.bronze(spark, SF, s) for s in ("orders", "order_items")}
+    spec = FIXTURE_SPECS["fact_order_items"]
+    rows = []
+    for n, bound in enumerate((None, 0, 1 << 25)):
+        cfg = RunConfig(Paths.under(os.path.join(bronze_root, f"b{n}")))
+        res = run_table(spark, spec, cfg, raw=raws["order_items"], raw_parents={"orders": raws["orders"]},
+                        parent_specs=FIXTURE_SPECS, broadcast_parents_up_to=bound)
+        rows.append(sorted(tuple(r) for r in read_table(spark, res.silver_path).collect()))
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 2645
+
+
 def _gold_config(root, run_id, **kw):
     return RunConfig(Paths.under(root), run_id=run_id, environment="dev",
                      metrics_path=os.path.join(root, "metrics"), **kw)
