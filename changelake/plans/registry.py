@@ -567,11 +567,11 @@ def quarantine_replay(spark, sf):
 DELIVERY_CUTS = ("1994-01-01", "1996-07-01")
 
 
-def _deliver(spark, sf, config: RunConfig, source: str, n: int) -> None:
+def _deliver(spark, sf, config: RunConfig, source: str, n: int, between: tuple[str, ...]) -> None:
     """Write the n-th delivery of a raw log: events captured between two cuts, and
     with the last one the first delivery's deletes once more (late and known)."""
     log, at = raw(spark, sf, source), F.col(CAPTURE_TS_COL)
-    cuts = (None, *DELIVERY_CUTS, None)
+    cuts = (None, *between, None)
     part = log
     if cuts[n] is not None:
         part = part.where(at >= cuts[n])
@@ -582,15 +582,15 @@ def _deliver(spark, sf, config: RunConfig, source: str, n: int) -> None:
     part.write.parquet(f"{config.paths.bronze_table(source)}/delivery{n}")
 
 
-def _apply_deliveries(spark, sf, tables: list[str]) -> RunConfig:
-    """Deliver in three steps; after each one every table takes in its new files.
-    The order lines lag behind the orders, so lines also change with their orders."""
+def _apply_deliveries(spark, sf, tables: list[str], between: tuple[str, ...] = DELIVERY_CUTS) -> RunConfig:
+    """Deliver in steps; after each one every table takes in its new files. The
+    order lines lag behind the orders, so lines also change with their orders."""
     cfg = RunConfig(Paths.under(scratch_dir(spark, "incremental")), environment=ENVIRONMENT)
     sources = [FIXTURE_SPECS[t].source for t in tables]
     schemas = {s: _fixture_schema(s) for s in sources}
-    for n in range(len(DELIVERY_CUTS) + 1):
+    for n in range(len(between) + 1):
         for s in sources:
-            _deliver(spark, sf, cfg, s, n)
+            _deliver(spark, sf, cfg, s, n, between)
             for t in tables:
                 if FIXTURE_SPECS[t].source == s or (n and FIXTURE_SPECS[t].parents):
                     apply_new_files(spark, FIXTURE_SPECS[t], cfg, raw_schemas=schemas, parent_specs=FIXTURE_SPECS)
@@ -605,14 +605,14 @@ def incremental_fact_payments(spark, sf):
 
 @register("incremental_fact_order_items", _valid_sql("fact_order_items") + "select * from valid_fact_order_items")
 def incremental_fact_order_items(spark, sf):
-    cfg = _apply_deliveries(spark, sf, ["fact_orders", "fact_order_items"])
+    cfg = _apply_deliveries(spark, sf, ["fact_orders", "fact_order_items"], DELIVERY_CUTS[1:])
     return read_table(spark, cfg.paths.silver_table("fact_order_items"))
 
 
 @register("incremental_quarantine", _ann("fact_orders") +
           "select * from annotated_fact_orders where _validation_errors is not null")
 def incremental_quarantine(spark, sf):
-    cfg = _apply_deliveries(spark, sf, ["fact_orders"])
+    cfg = _apply_deliveries(spark, sf, ["fact_orders"], DELIVERY_CUTS[1:])
     return read_quarantine(spark, cfg.paths.silver_table("fact_orders"))
 
 
