@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (chunking, hilbert, langid, mixing, packing, pii, rabitq, simhash, suffixes, toxicity, turns, urls,
                whitening)
+from .oracle_sql import ORACLE
 
 #: Token ids come from this public vocabulary file.
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -110,5 +111,4 @@ QUERIES = {
     "op13_turns": op13_turns,
 }
 
-#: Queries that SQL can express; the others are tested against brute force.
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "tokenizer_path"]

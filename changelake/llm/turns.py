@@ -204,7 +204,7 @@ def faults(rows: DataFrame) -> DataFrame:
                     F.when(end == "", BLANK).when(F.col("nth") > 1, DUPLICATE)
                     .when(~F.right(end, F.lit(1)).isin(".", "!", "?"), TRUNCATED).otherwise(OK).alias("fault"))
             .sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(),
-                                  "role", "text", "copy"))
+                                  "role", "text", "copy", "nth"))
 
 
 class _Tally:

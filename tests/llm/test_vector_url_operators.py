@@ -77,6 +77,20 @@ def _brute_links(rows):
     return Counter((rows[i][0], deg[i], comp[i], rows[i][0] is not None and rows[i][0] == comp[i]) for i in range(n))
 
 
+def test_link_sql_equals_brute_force(tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from changelake.llm.queries import ORACLE
+    rows = [r for r in {r[0]: r for r in _vectors() if r[0] is not None}.values()]    # ids name rows in SQL
+    pq.write_table(pa.table({"vec_id": pa.array([r[0] for r in rows], pa.int64()),
+                             "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float32())),
+                             "label": pa.array([r[2] for r in rows], pa.int32())}), str(tmp_path / "e.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/e.parquet'")
+    assert Counter(con.sql(ORACLE["op2_rabitq"]).fetchall()) == _brute_links(rows)
+
+
 def test_links_equal_brute_force(vectors, no_vectors):
     want = _brute_links(_vectors())
     assert Counter(map(tuple, rabitq.links(vectors).collect())) == want

@@ -331,6 +331,21 @@ def test_repair_of_small_batches_and_no_rows(spark):
     assert turns.repair(spark.createDataFrame([], TURNS)).collect() == []
 
 
+def test_repair_sql_equals_brute_force(tmp_path):
+    """The SQL that the driver compares with, on rows with all the edge cases."""
+    import duckdb
+    import pyarrow.parquet as pq
+    rows = [r[:4] for r in _turn_rows() if r[0] != 3 and len(r[3] or "") < 1000]   # SQL carries whole texts along
+    columns = list(zip(*rows))
+    pq.write_table(pa.table({n: pa.array(c, t) for n, c, t in zip(
+        ("conv_id", "turn", "role", "text"), columns, (pa.int64(), pa.int64(), pa.string(), pa.string()))}),
+        str(tmp_path / "c.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/c.parquet'")
+    got = {r[0]: r[1:] for r in con.sql(queries.ORACLE["op13_turns"]).fetchall()}
+    assert got == _brute_repair(rows)
+
+
 def test_repair_whole_table(spark):
     path = "/root/testdata/sf0.01/conversations.parquet"
     rows = [tuple(r) for r in spark.read.parquet(path).select("conv_id", "turn", "role", "text").collect()]
