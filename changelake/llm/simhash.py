@@ -8,9 +8,10 @@ The bits are cut into ``max_bits + 1`` segments on a ring. If two fingerprints
 differ in at most t of the bits, some segment starts a chain whose first l
 segments differ in at most floor(l * t / (t + 1)) = l - 1 bits together, for
 every l. So the first segment is equal, the first two differ in at most one
-bit, and so on: candidates share the first segment, are met by looking up the
-second segment with no or one bit flipped, must pass the budget of every
-further prefix of the chain, and only then the full Hamming check.
+bit, and so on: candidates share the first segment, are met by sending each
+fingerprint to the places of its second segment with no or one bit flipped,
+must pass the budget of every further prefix of the chain, and only then the
+full Hamming check.
 
 Defined results: a null text counts as empty; a text without words has the
 fingerprint zero and links like any other; one with fewer words than a shingle
@@ -82,79 +83,99 @@ def _segments(max_bits: int) -> list[tuple[int, int]]:
     return list(zip(shifts, widths))
 
 
-def near_links(fp: np.ndarray, first: int, max_bits: int) -> np.ndarray:
-    """Labels of the groups that links with an equal segment ``first`` make.
+def near_links(fp: np.ndarray, seg: np.ndarray, flip: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct fingerprints of the rows and their group labels (least index).
 
-    ``fp``: distinct uint64 fingerprints. Candidate pairs come in chunks, so
-    memory is bounded by the rows and the chunk, not by the pairs.
+    A row asks for one place: the chain that starts at segment ``seg``, with bit
+    ``flip`` of the second segment turned (-1: none, the fingerprint's own
+    place). Rows of one place are compared unless both only visit it. Candidate
+    pairs come in chunks, so memory is bounded by the rows and the chunk, not
+    by the pairs.
     """
     segs = _segments(max_bits)
     m = len(segs)
-    ring = [segs[(first + k) % m] for k in range(m)]
     one = np.uint64(1)
-    part = [(fp >> np.uint64(s)) & ((one << np.uint64(w)) - one) for s, w in ring]
-    head = (part[0] << np.uint64(ring[1][1])) | part[1] if m > 1 else part[0]
-    order = np.argsort(head, kind="stable")
-    head, fp = head[order], fp[order]
-    part = [p[order] for p in part]
-    n = len(fp)
-    labels = np.arange(n)
-    flips = [0] + ([1 << b for b in range(ring[1][1])] if m > 1 else [])
-    for flip in flips:
-        want = head ^ np.uint64(flip)
-        if flip:
-            ask = np.flatnonzero(want > head)  # each pair once
-            lo, hi = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            lo[ask] = np.searchsorted(head, want[ask], side="left")
-            hi[ask] = np.searchsorted(head, want[ask], side="right")
-        else:
-            lo, hi = np.arange(1, n + 1), np.searchsorted(head, head, side="right")
-        for i, j in expand_ranges(lo, hi):
+    every, of = np.unique(fp, return_inverse=True)
+    labels = np.arange(len(every))
+    for first in range(m):
+        mine = np.flatnonzero(seg == first)
+        ring = [segs[(first + k) % m] for k in range(m)]
+        part = [(every >> np.uint64(s)) & ((one << np.uint64(w)) - one) if w < 64 else every for s, w in ring]
+        head = part[0][of[mine]]
+        visits = flip[mine] >= 0
+        if m > 1:
+            turned = np.where(visits, one << np.maximum(flip[mine], 0).astype(np.uint64), np.uint64(0))
+            head = (head << np.uint64(ring[1][1])) | (part[1][of[mine]] ^ turned)
+        order = np.lexsort((visits, head))   # own places before visits
+        head, visits, at = head[order], visits[order], of[mine][order]
+        hi = np.where(visits, 0, np.searchsorted(head, head, side="right"))
+        for i, j in expand_ranges(np.arange(1, len(head) + 1), hi):
+            i, j = at[i], at[j]
             apart = labels[i] != labels[j]
             i, j = i[apart], j[apart]
-            spent = np.full(len(i), 1 if flip else 0, dtype=np.int64)
-            for length in range(3, m + 1):
+            spent = np.zeros(len(i), dtype=np.int64)
+            for length in range(2, m + 1):
                 spent = spent + np.bitwise_count(part[length - 1][i] ^ part[length - 1][j])
                 ok = spent <= length * max_bits // m
                 i, j, spent = i[ok], j[ok], spent[ok]
-            ok = np.bitwise_count(fp[i] ^ fp[j]) <= max_bits
+            ok = np.bitwise_count(every[i] ^ every[j]) <= max_bits
             union_labels(labels, i[ok], j[ok])
-    out = np.empty(n, np.int64)
-    out[order] = order[labels]
-    return out
+    return every, labels
+
+
+def _places(max_bits: int):
+    """The places a fingerprint stands at, as an array of (seg, flip, head): its
+    own of every segment, and those with one zero bit of the second segment
+    turned to one (so of two neighbours only one visits the other)."""
+    segs = _segments(max_bits)
+    m = len(segs)
+    places = []
+    for i, (s, w) in enumerate(segs):
+        own = F.shiftrightunsigned("fp", s).bitwiseAND((1 << w) - 1) if w < 64 else F.col("fp")
+        flips = [-1]
+        if m > 1:
+            s2, w2 = segs[(i + 1) % m]
+            second = F.shiftrightunsigned("fp", s2).bitwiseAND((1 << w2) - 1)
+            own = F.shiftleft(own, w2).bitwiseOR(second)
+            flips += range(w2)
+        for k in flips:
+            place = F.struct(F.lit(i).cast("tinyint").alias("seg"), F.lit(k).cast("tinyint").alias("flip"),
+                             (own if k < 0 else own.bitwiseOR(F.lit(1 << k))).cast("bigint").alias("head"))
+            places.append(place if k < 0 else F.when(F.shiftright(own, k).bitwiseAND(1) == 0, place))
+    return F.array_compact(F.array(*places))
 
 
 def link_edges(distinct: DataFrame, max_bits: int = 4, task_rows: int = 100_000) -> DataFrame:
     """(a, b) edges that connect every pair of distinct fingerprints within
-    ``max_bits``: per group only a spanning star of each of its components.
+    ``max_bits``: per bin only a spanning star of each of its components.
 
-    A group holds the fingerprints that agree in the leading bits of one
-    segment; the number of those bits follows from the row count. A group over
-    ``task_rows`` is compared in pairs of blocks, so no task gets it whole.
+    A fingerprint is sent to its place in each segment's order, the first two
+    segments together, and to the places one bit away: at most one copy a bit of
+    a segment and one more, whatever the size of the table. Places are hashed to
+    bins of some ``task_rows / 2`` rows; a bin over ``task_rows`` is compared in
+    pairs of blocks, so no task gets a hot place whole.
     """
+    rows = distinct.select("fp", F.explode(_places(max_bits)).alias("k")).select("fp", "k.*")
     segs = _segments(max_bits)
-    n = distinct.count()
-    bits = min(min(w for _, w in segs), max(0, math.ceil(math.log2(max(n, 1) / 4000))))
-    key = F.array(*[F.struct(F.lit(i).alias("seg"),
-                             F.shiftrightunsigned("fp", s + w - bits).bitwiseAND((1 << bits) - 1)
-                             .cast("int").alias("val")) for i, (s, w) in enumerate(segs)])
-    rows = distinct.select("fp", F.explode(key).alias("k")).select("fp", "k.seg", "k.val")
-    # At most (max_bits + 1) * 2**bits rows, bits <= the segment width (13 for 4).
-    sizes = rows.groupBy("seg", "val").agg(F.ceil(F.count("*") / task_rows).cast("int").alias("nb"))
-    rows = rows.join(F.broadcast(sizes), ["seg", "val"])
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("fp"), F.col("nb")).cast("int"))
-    rows = rows.withColumn("oth", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select("fp", "seg", "val", F.least("blk", "oth").alias("p"),
+    n = distinct.count() * sum(1 + (w + 1) // 2 for _, w in segs)
+    bins = max(1, math.ceil(2 * n / task_rows))
+    rows = rows.select("fp", "seg", "flip", F.pmod(F.xxhash64("seg", "head"), F.lit(bins)).alias("bin"))
+    sizes = rows.groupBy("bin").agg(F.ceil(F.count("*") / task_rows).cast("int").alias("nb")).where("nb > 1")
+    rows = rows.join(Stash(distinct.sparkSession, "simhash-bins").put(sizes), "bin", "left")
+    nb = F.coalesce("nb", F.lit(1))
+    rows = rows.withColumn("blk", F.pmod(F.xxhash64("fp"), nb).cast("int"))
+    rows = rows.withColumn("oth", F.explode(F.sequence(F.lit(0), nb - 1)))
+    rows = rows.select("fp", "seg", "flip", "bin", F.least("blk", "oth").alias("p"),
                        F.greatest("blk", "oth").alias("q"))
 
-    def link(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        fp = pdf["fp"].to_numpy().view(np.uint64)
-        labels = near_links(fp, int(key[0]), max_bits)
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        fp, labels = near_links(pdf["fp"].to_numpy().view(np.uint64), pdf["seg"].to_numpy(),
+                                pdf["flip"].to_numpy(), max_bits)
         child = np.flatnonzero(labels != np.arange(len(fp)))
         signed = fp.view(np.int64)
         return pd.DataFrame({"a": signed[child], "b": signed[labels[child]]})
 
-    return rows.groupBy("seg", "val", "p", "q").applyInPandas(link, "a bigint, b bigint")
+    return rows.groupBy("bin", "p", "q").applyInPandas(link, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42,
