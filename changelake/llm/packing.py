@@ -8,9 +8,12 @@ piece takes one away, so the piece that brings the height down from h takes the
 gap that brought it up to h -- the smallest free gap that holds it. Pieces that
 want the same gap are thus told apart by their rank. The heights come from
 counts per size (a table of at most two rows per length) and ranks inside a
-size, so neither pieces nor gaps ever meet in one task. Matched gaps shrink,
-pieces that fit no gap at all open as many new sequences as their total needs,
-and the next round follows until all are placed.
+size, so neither pieces nor gaps ever meet in one task. A gap that would hold
+the longest unplaced piece several times is offered as so many equal parts, so
+it takes several pieces a round. Matched gaps shrink, and as many new sequences
+open as the pieces need at least: those longer than every gap, and all of them
+beyond the room that is left. The next round follows until all are placed; every
+round runs on Spark alike, whether many pieces are left or few.
 
 Pieces of at most ``crumb`` tokens come last, in one pass: laid end to end
 along the gaps, each reduced by the longest crumb so that none crosses an end.
@@ -22,7 +25,6 @@ by one. An empty table gives no rows.
 
 from __future__ import annotations
 
-import bisect
 import math
 import unicodedata
 import zlib
@@ -177,12 +179,19 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int =
         run, f"_row bigint, doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
-def _sweep(items: DataFrame, gaps: DataFrame, sub: int) -> DataFrame:
-    """One round of ``items(item, length)`` on ``gaps(seq, room)``: rows
-    (item, length, seq, room) with nulls where a side found no partner."""
+def _sweep(items: DataFrame, gaps: DataFrame, least: int, most: int, sub: int) -> DataFrame:
+    """One round of ``items(item, length)``, ``least`` to ``most`` long, on
+    ``gaps(seq, room)``: rows (item, length, seq, room, before, used, nth) with
+    nulls where a side found no partner. ``used`` is what the round puts into
+    the sequence, ``before`` the part of it that stands before the item."""
     # Gaps come before pieces of the same size; sub splits a size into parts.
-    line = items.select(F.lit(1).alias("kind"), F.col("item").alias("id"), F.col("length").alias("size")) \
-        .unionByName(gaps.select(F.lit(0).alias("kind"), F.col("seq").alias("id"), F.col("room").alias("size")))
+    none = F.lit(None).cast("bigint")
+    slots = gaps.where(F.col("room") >= least)
+    parts = F.greatest(F.lit(1), F.floor(F.col("room") / most)).cast("int")
+    slots = slots.select(F.lit(0).alias("kind"), F.col("seq").alias("id"), F.floor(F.col("room") / parts).alias("size"),
+                         "room", F.explode(F.array_repeat(F.lit(0), parts))).drop("col")
+    line = slots.unionByName(items.select(F.lit(1).alias("kind"), F.col("item").alias("id"),
+                                          F.col("length").alias("size"), none.alias("room")))
     line = line.withColumn("sub", F.pmod(F.xxhash64("id"), F.lit(sub)))
     at = [F.col("size").desc(), F.col("kind"), F.col("sub")]
     counts = line.groupBy("size", "kind", "sub").agg(F.count("*").alias("n"))
@@ -202,24 +211,27 @@ def _sweep(items: DataFrame, gaps: DataFrame, sub: int) -> DataFrame:
                            .otherwise(F.col("height") - F.col("rank") + 1))
     # A piece that finds the stack empty stays out of the levels.
     lost = line.where("kind = 1 and level < 1").select(
-        F.col("id").alias("item"), F.col("size").alias("length"),
-        F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("bigint").alias("room"))
+        F.col("id").alias("item"), F.col("size").alias("length"), none.alias("seq"), none.alias("room"),
+        none.alias("before"), none.alias("used"), F.lit(None).cast("int").alias("nth"))
     line = line.where("level >= 1")
     by = Window.partitionBy("level").orderBy("nth")
     line = (line.withColumn("item", F.when(F.lead("kind").over(by) == 1, F.lead("id").over(by)))
             .withColumn("length", F.when(F.col("item").isNotNull(), F.lead("size").over(by)))
             .where("kind = 0"))
-    return line.select("item", "length", F.col("id").alias("seq"), F.col("size").alias("room")) \
-        .unionByName(lost)
+    # A sequence has at most capacity / least parts.
+    inside = Window.partitionBy("id").orderBy("item")
+    length = F.coalesce("length", F.lit(0))
+    return line.select(
+        "item", "length", F.col("id").alias("seq"), "room",
+        (F.sum(length).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - length).alias("before"),
+        F.sum(length).over(Window.partitionBy("id")).alias("used"),
+        F.row_number().over(inside).alias("nth")).unionByName(lost)
 
 
-def pack(items: DataFrame, capacity: int = 2048, crumb: int = 64, part_rows: int = 20_000_000,
-         finish_rows: int = 5000) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 2048, crumb: int = 16, part_rows: int = 20_000_000) -> DataFrame:
     """(item, seq, offset) for ``items(item, length)``, item a unique long.
 
-    A sequence is named after the item that opened it. Once no more than
-    ``finish_rows`` pieces are left, no more sequences are opened while any of
-    them fits a gap; what then fits none is packed among itself in one go.
+    A sequence is named after the item that opened it.
     """
     spark = items.sparkSession
     stash = Stash(spark, "packing")
@@ -231,32 +243,24 @@ def pack(items: DataFrame, capacity: int = 2048, crumb: int = 64, part_rows: int
                      .select("item", "length"))
     closed = []
     while True:
-        left, least, most = todo.agg(F.count("*"), F.min("length"), F.max("length")).first()
+        left, total, least, most = todo.agg(F.count("*"), F.sum("length"), F.min("length"), F.max("length")).first()
         if not left:
             break
-        widest = gaps.agg(F.max("room")).first()[0] or 0
-        if widest < most and (left > finish_rows or widest < least):
-            if left <= finish_rows:
-                seqs = _best_fit([tuple(r) for r in todo.select("item", "length").collect()], capacity)
-                done = spark.createDataFrame([x[:3] for x in seqs], "item bigint, seq bigint, offset bigint")
-                placed.append(done)
-                gaps = gaps.unionByName(spark.createDataFrame(
-                    sorted({x[1]: (x[1], x[3]) for x in seqs}.values()), "seq bigint, room bigint"))
-                break
-            # The pieces longer than every gap need at least so many sequences.
-            need = todo.where(F.col("length") > widest).agg(F.sum("length")).first()[0]
+        widest, free = gaps.agg(F.max("room"), F.sum(F.when(F.col("room") >= least, F.col("room")))).first()
+        need = total - (free or 0)
+        if (widest or 0) < most:
+            need = max(need, todo.where(F.col("length") > (widest or 0)).agg(F.sum("length")).first()[0])
+        if need > 0:
             opened = stash.put(_largest(todo, math.ceil(need / capacity), part_rows))
             placed.append(opened.select("item", F.col("item").alias("seq"), zero.alias("offset")))
             gaps = gaps.unionByName(opened.select(
                 F.col("item").alias("seq"), (F.lit(capacity) - F.col("length")).alias("room")))
             todo = todo.join(opened.select("item"), "item", "left_anti")
         closed.append(gaps.where(F.col("room") < least))
-        sub = max(1, math.ceil(left / part_rows))
-        done = stash.put(_sweep(todo, gaps.where(F.col("room") >= least), sub))
+        done = stash.put(_sweep(todo, gaps, least, most, max(1, math.ceil(left / part_rows))))
         hit = done.where("item is not null and seq is not null")
-        placed.append(hit.select("item", "seq", (F.lit(capacity) - F.col("room")).alias("offset")))
-        gaps = done.where("seq is not null").select(
-            "seq", (F.col("room") - F.coalesce("length", F.lit(0))).alias("room"))
+        placed.append(hit.select("item", "seq", (F.lit(capacity) - F.col("room") + F.col("before")).alias("offset")))
+        gaps = done.where("nth = 1").select("seq", (F.col("room") - F.col("used")).alias("room"))
         todo = done.where("seq is null").select("item", "length")
     gaps = _union([gaps, *closed])
     crumbs = items.where(F.col("length") <= crumb)
@@ -265,18 +269,6 @@ def pack(items: DataFrame, capacity: int = 2048, crumb: int = 64, part_rows: int
     return _union(placed)
 
 
-def _best_fit(items: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int]]:
-    """(item, seq, offset, room left in seq) for a bounded list, longest first."""
-    rooms, at, room = [], {}, {}
-    for item, length in sorted(items, key=lambda x: (-x[1], x[0])):
-        k = bisect.bisect_left(rooms, (length, -1))
-        free, seq = rooms.pop(k) if k < len(rooms) else (capacity, item)
-        at[item] = (seq, capacity - free)
-        room[seq] = free - length
-        bisect.insort(rooms, (free - length, seq))
-    return [(item, seq, offset, room[seq]) for item, (seq, offset) in at.items()]
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for df in frames[1:]:
