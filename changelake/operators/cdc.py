@@ -59,10 +59,12 @@ def recency_order(ts_col: str = CAPTURE_TS_COL, op_col: str | None = OP_COL,
     return order
 
 
-def whole_row(columns: Sequence[str], keys: Sequence[str]) -> Column:
-    """The last tie breaker: all columns but the key, compared in order, so that
-    rows which tie on everything else still have one defined winner."""
-    return F.struct(*[F.col(c) for c in columns if c not in set(keys)])
+def whole_row(columns: Sequence[str], known: Sequence[str]) -> list[Column]:
+    """The last tie breakers: every column that is not ``known`` to tie, in order
+    and descending, so that rows which tie on everything else still have one
+    defined winner. Plain columns, not a struct of them: a struct would be
+    computed below the exchange and every row would be shuffled twice over."""
+    return [F.col(c).desc_nulls_last() for c in columns if c not in set(known)]
 
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], *,
@@ -77,8 +79,8 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], *,
 def _newest(df: DataFrame, part: Sequence[str], keys: Sequence[str], ts_col, op_col, tie_breakers,
             order_as) -> DataFrame:
     order = recency_order(ts_col, op_col, tie_breakers, order_as)
-    last = whole_row([c for c in df.columns if c != _NULL_KEY_ROW], keys)
-    w = Window.partitionBy(*part).orderBy(*order, last.desc())
+    last = whole_row(df.columns, [*keys, *(t for t in tie_breakers if isinstance(t, str)), _NULL_KEY_ROW])
+    w = Window.partitionBy(*part).orderBy(*order, *last)
     return (df.withColumn(ROW_NUM_COL, F.row_number().over(w))
               .filter(F.col(ROW_NUM_COL) == 1)
               .drop(ROW_NUM_COL))

@@ -12,7 +12,8 @@ all children, into several tasks.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,19 @@ def attach_parent(child: DataFrame, parent: DataFrame, on: str | Sequence[str],
     return child.join(parent, on=on, how="left")
 
 
+@contextmanager
+def skew_split(spark: SparkSession) -> Iterator[None]:
+    """Within it AQE splits a skewed join also where a later step relies on the
+    join's partitioning: that step is shuffled anew then, and only then."""
+    name = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def store_bucketed(df: DataFrame, key: str, buckets: int, purpose: str = "live_parent") -> tuple[DataFrame, str]:
     """``df`` written once to the shared folder, bucketed and sorted by ``key``:
     (the table, its catalog name). A join on the key reads it as it lies, without
@@ -64,12 +78,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 def measured(spark: SparkSession, df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """A stored table with a broadcast hint if its rows' bytes, added up from the
     values themselves and not estimated from files, are within the bound."""
+    return F.broadcast(df) if fits(df, max_bytes) else df
+
+
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the bytes of a stored table's rows, added up, are within the bound."""
     sizes = [_bytes_of(f.name, f.dataType) for f in df.schema.fields]
     row = sizes[0]
     for s in sizes[1:]:
         row = row + s
     total = df.agg(F.sum(row + F.lit(_ROW_BYTES))).first()[0] or 0
-    return F.broadcast(df) if total <= max_bytes else df
+    return total <= max_bytes
 
 
 def _bytes_of(name: str, kind) -> Column:

@@ -32,6 +32,12 @@ section, never applied and never lost.
 
 The result equals a full run over all files (tested after every batch). Work per
 run: the new files, the key columns of the state, and the touched partitions.
+
+A batch whose keys a task can hold takes its rows out of the state by broadcast.
+A larger one is not stored on the way: its events and all rows of the touched
+partitions are shuffled by key once (by the parent's key, if that is part of it,
+which serves the join as well), and once more into the partitions of the state.
+Rows and quarantine are written as the state is read, without a shuffle.
 """
 
 from __future__ import annotations
@@ -46,7 +52,7 @@ from pyspark.sql.types import DataType, IntegerType, StructType
 from ..config import RunConfig
 from ..functions.timefmt import month_of, parse_capture_ts, year_of
 from ..operators.cdc import drop_deleted, latest_per_key
-from ..operators.joins import attach_parent, measured
+from ..operators.joins import attach_parent, fits, measured, skew_split
 from ..operators.quality import ERRORS_COL, annotate, invalid_rows, valid_rows
 from ..schemas import CAPTURE_TS_COL, OP_COL, OP_DELETE, bronze_schema
 from ..session import scratch_dir
@@ -177,7 +183,11 @@ def changed_parents(spark: SparkSession, spec: TableSpec, parent: str, root: str
 
 def _merge(spec: TableSpec, events: DataFrame, held: DataFrame, null_keys: str, order_as: str) -> DataFrame:
     """Newest of the new events and the state's rows of the same keys."""
-    both = events.unionByName(held)
+    return _newest_rows(spec, events.unionByName(held), null_keys, order_as)
+
+
+def _newest_rows(spec: TableSpec, both: DataFrame, null_keys: str, order_as: str) -> DataFrame:
+    """Newest row of every key."""
     if null_keys == "keep":
         # Rows without a key are rows of their own: all of them stay.
         none = _null_key(spec.keys)
@@ -263,81 +273,121 @@ def _apply_once(spark, spec, config, raw_schemas, parent_specs, timestamp_type,
         raw_rows = check_layouts(spark, names, raw, check_schema, recursive=False) \
             if names and check_schema != "off" else None
 
-        # Each key's newest event of the batch.
         events = read_bronze(spark, names, raw, recursive=False) if names else spark.createDataFrame([], raw)
         if raw_rows is None:
             raw_rows = events.count()
         batch_max = events.agg(F.max(CAPTURE_TS_COL)).first()[0]
-        fresh = steps.put(_merge(spec, events, spark.createDataFrame([], raw), null_keys, order_as))
+        horizon = base.facts.get("horizon") if held is not None else None
+        has_key = ~_null_key(spec.keys) if null_keys == "keep" else F.lit(True)
+
+        # Each key's newest event of the batch; a large batch is not stored once
+        # more, its older events go when it is merged with the state.
+        small = fits(events.select(*spec.keys))
+        fresh = steps.put(_merge(spec, events, spark.createDataFrame([], raw), null_keys, order_as)) \
+            if small or horizon is not None else events
 
         # The state's rows of these keys, found by key columns alone.
-        wanted = fresh.select(*spec.keys)
-        if null_keys == "keep":
-            wanted = wanted.where(~_null_key(spec.keys))
+        wanted = fresh.select(*spec.keys).where(has_key)
         narrow = state.select(*spec.keys, *columns)
-        hits = narrow.alias("s").join(measured(spark, steps.put(wanted)).alias("w"),
+        hits = narrow.alias("s").join(F.broadcast(wanted.alias("w")) if small else wanted.alias("w"),
                                       _same_key("s", "w", spec.keys), "left_semi").select(*spec.keys, *columns)
-        horizon = base.facts.get("horizon") if held is not None else None
         late = None
         if horizon is not None:
             hits = steps.put(hits)
             old_event = parse_capture_ts(CAPTURE_TS_COL) < F.lit(horizon).cast("timestamp_ntz")
             unknown = fresh.where(old_event).alias("f").join(
                 hits.alias("h"), _same_key("f", "h", spec.keys), "left_anti")
-            late = steps.put(unknown.where(~_null_key(spec.keys)) if null_keys == "keep" else unknown)
+            late = steps.put(unknown.where(has_key))
             fresh = steps.put(fresh.alias("f").join(late.alias("l"), _same_key("f", "l", spec.keys), "left_anti")
                               if null_keys == "group" else
                               fresh.where(_null_key(spec.keys)).unionByName(
-                                  fresh.where(~_null_key(spec.keys)).alias("f").join(
+                                  fresh.where(has_key).alias("f").join(
                                       late.alias("l"), _same_key("f", "l", spec.keys), "left_anti")))
-            wanted = fresh.select(*spec.keys).where(
-                ~_null_key(spec.keys) if null_keys == "keep" else F.lit(True))
+            wanted = fresh.select(*spec.keys).where(has_key)
         for p in moved:
             parent_root, now, parent_schema = parents[p]
             was = versions.manifest(spark, parent_root, seen[p]) if p in seen else None
             key = spec.parent_columns[p][0]
             narrow = state.select(*spec.keys, *columns, key)
             if was is None or STATE not in was.sections:
-                hits = hits.unionByName(narrow.select(*spec.keys, *columns))
+                hits, small = hits.unionByName(narrow.select(*spec.keys, *columns)), False
             else:
                 changed = steps.put(changed_parents(spark, spec, p, parent_root, was, now, parent_schema))
+                small = fits(changed) and small
                 hits = hits.unionByName(narrow.join(measured(spark, changed), key, "left_semi")
                                         .select(*spec.keys, *columns))
-        hits = steps.put(hits.distinct())
+        if small:
+            hits = steps.put(hits.distinct())
+            all_keys = steps.put(wanted.unionByName(hits.select(*spec.keys)).distinct())
+            small = fits(all_keys)
         touched = _parts_of(hits, columns)
 
-        # Winners, with what they borrow from live parents now.
-        all_keys = steps.put(wanted.unionByName(hits.select(*spec.keys)).distinct())
-        old = versions.read_section(spark, root, held, schema, sorted(touched))
-        mine = old.alias("s").join(measured(spark, all_keys).alias("w"), _same_key("s", "w", spec.keys), "left_semi")
-        winners = _merge(spec, fresh, mine.select(*raw.names), null_keys, order_as)
-        for p, (parent_root, now, parent_schema) in parents.items():
-            winners = steps.put(winners)
-            key = spec.parent_columns[p][0]
-            live = live_parent_state(spark, spec, p, parent_root, now, parent_schema)
-            need = measured(spark, steps.put(winners.select(key).distinct()))
-            winners = attach_parent(winners, live.join(need, key, "left_semi"), on=key)
-        winners = steps.put(winners.withColumns(_partition_values(spec, buckets)).select(*schema.names))
-        touched |= _parts_of(winners, columns)
-        parts = sorted(touched)
-
-        # Only the touched partitions are written anew.
-        rest = versions.read_section(spark, root, held, schema, parts).alias("s").join(
-            measured(spark, all_keys).alias("w"), _same_key("s", "w", spec.keys), "left_anti").select(*schema.names)
+        # Winners, with what they borrow from live parents now. Few keys take their
+        # rows out of the touched partitions by broadcast; else all rows of these
+        # partitions take part, so that none of them is shuffled to be set apart.
         newest = max((t for t in (base.facts.get("max_capture_ts") if held is not None else None, batch_max)
                       if t is not None), default=None)
-        kept_rows = rest.unionByName(winners)
         if forget_deletes_days is not None and newest is not None:
             horizon = _later(horizon, _days_before(spark, newest, forget_deletes_days))
+
+        def remembered(rows: DataFrame) -> DataFrame:
+            if forget_deletes_days is None or newest is None:
+                return rows
             gone = (F.col(OP_COL) == OP_DELETE) & (parse_capture_ts(CAPTURE_TS_COL)
                                                    < F.lit(horizon).cast("timestamp_ntz"))
-            kept_rows = kept_rows.where(~F.coalesce(gone, F.lit(False)))
-        write_silver(kept_rows, versions.attempt_path(root, attempt, STATE), columns)
+            return rows.where(~F.coalesce(gone, F.lit(False)))
+
+        def write_state(rows: DataFrame, mode: str) -> None:
+            write_silver(remembered(rows), versions.attempt_path(root, attempt, STATE), columns, mode)
+
+        mine = versions.read_section(spark, root, held, schema, sorted(touched))
+        if small:
+            mine = mine.alias("s").join(F.broadcast(all_keys.alias("w")), _same_key("s", "w", spec.keys), "left_semi")
+        mine = mine.select(*raw.names)
+        live = {p: live_parent_state(spark, spec, p, parent_root, now, parent_schema)
+                for p, (parent_root, now, parent_schema) in parents.items()}
+        # A parent whose key is part of the row's own is joined to all candidates
+        # of a large batch: the shuffle by the parent's key brings them together too.
+        early = [p for p in parents if not small and spec.parent_columns[p][0] in spec.keys]
+        winners = fresh.unionByName(mine) if names else mine
+        for p in early:
+            winners = attach_parent(winners, live[p], on=spec.parent_columns[p][0])
+        if names:
+            winners = _newest_rows(spec, winners, null_keys, order_as)
+        for p in parents:
+            if p in early:
+                continue
+            key = spec.parent_columns[p][0]
+            if small:
+                winners = steps.put(winners)
+                need = measured(spark, steps.put(winners.select(key).distinct()))
+                live[p] = live[p].join(need, key, "left_semi")
+            winners = attach_parent(winners, live[p], on=key)
+        winners = winners.withColumns(_partition_values(spec, buckets)).select(*schema.names)
+
+        # Only the touched partitions are written anew.
+        if small:
+            winners = steps.put(winners)
+            touched |= _parts_of(winners, columns)
+            rest = versions.read_section(spark, root, held, schema, sorted(touched)).alias("s").join(
+                F.broadcast(all_keys.alias("w")), _same_key("s", "w", spec.keys), "left_anti").select(*schema.names)
+            write_state(rest.unionByName(winners), "overwrite")
+        else:
+            with skew_split(spark):
+                write_state(winners, "overwrite")
+            # Partitions that only new rows came to: the rows there have none of the keys.
+            written = versions.written_section(spark, root, attempt, STATE, columns).folders
+            joined = sorted(part for part in set(written) - touched if held is not None and part in held.folders)
+            if joined:
+                write_state(versions.read_section(spark, root, held, schema, joined), "append")
+            touched |= set(written)
+        parts = sorted(touched)
+        # The state lies in the partitions of the rows and the quarantine, so these
+        # are written as it is read, without a shuffle.
         state_now = versions.written_section(spark, root, attempt, STATE, columns, [])
-        new_state = versions.read_section(spark, root, state_now, schema)
-        annotated = steps.put(_annotated(spec, new_state, buckets))
-        write_silver(valid_rows(annotated), versions.attempt_path(root, attempt, ROWS), columns)
-        write_silver(invalid_rows(annotated), versions.attempt_path(root, attempt, QUARANTINE), columns)
+        annotated = _annotated(spec, versions.read_section(spark, root, state_now, schema), buckets)
+        for name, rows in ((ROWS, valid_rows(annotated)), (QUARANTINE, invalid_rows(annotated))):
+            write_silver(rows, versions.attempt_path(root, attempt, name), columns, rebalance=False)
         taken.coalesce(1).write.parquet(versions.attempt_path(root, attempt, FILES))
 
         counts = dict(base.facts.get("counts", {})) if held is not None else {}

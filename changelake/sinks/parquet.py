@@ -35,8 +35,9 @@ METRICS_SCHEMA = StructType([
 
 
 def write_silver(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                 mode: str = "overwrite") -> None:
-    writer_df = df.hint("rebalance", *partition_by) if partition_by else df
+                 mode: str = "overwrite", rebalance: bool = True) -> None:
+    """``rebalance=False`` is for rows that are read from files laid out the same."""
+    writer_df = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
     writer = writer_df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

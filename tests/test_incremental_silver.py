@@ -274,6 +274,44 @@ def test_forgotten_deletes_are_never_revived(lake, spark):
     assert {r.order_id for r in read_table(spark, root).collect()} == {4, 5, 7}
 
 
+@pytest.mark.parametrize("keys", [("order_item_id",), ("order_id", "order_item_id")])
+def test_large_batches_equal_full_runs(lake, spark, monkeypatch, keys):
+    """Nothing is small enough to broadcast: whole partitions are merged."""
+    import changelake.plans.incremental_silver as inc
+    monkeypatch.setattr(inc, "fits", lambda *_, **__: False)
+    spec = SPECS["fact_order_items"].with_(keys=keys, tie_breakers=("product_id",))
+    specs = {**SPECS, "fact_order_items": spec}
+
+    def apply():
+        lake.apply("fact_orders")
+        run = apply_new_files(spark, spec, lake.config, raw_schemas=SCHEMAS, parent_specs=specs)
+        full = annotate(silver_frame(spec, lake.raw("order_items"), {"orders": lake.raw("orders")}, specs), spec.rules)
+        root = lake.config.paths.silver_table(spec.name)
+        for want, got in ((valid_rows(full), read_table(spark, root)), (invalid_rows(full), read_quarantine(spark, root))):
+            assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        lake.check("fact_orders")
+        return run
+
+    lake.deliver("orders", [_order("I", T(1), str(k), f"2023-0{1 + k}-05") for k in range(4)], "load")
+    lake.deliver("order_items", [_item("I", T(1), str(10 * k + j), str(k)) for k in range(5) for j in range(3)]
+                 + [_item("I", T(1), None, "0"), _item("I", T(1), "99", None)], "load")
+    apply()
+    # Order 0 moves to a month that no line event names, order 1 goes, order 4 appears; lines
+    # change twice, tie, go and come. Month 3 has no event and stays.
+    lake.deliver("orders", [_order("U", T(2), "0", "2023-02-09"), _order("D", T(2), "1", "2023-02-05"),
+                            _order("I", T(2), "4", "2023-04-15")], "b1")
+    lake.deliver("order_items", [_item("U", T(2), "0", "0", "3"), _item("U", T(3), "0", "0", "4"),
+                                 _item("U", T(3), "0", "0", "5"), _item("D", T(2), "30", "3"),
+                                 _item("U", "2023-12-01 00:00:00.000000", "1", "0", "9"),
+                                 _item("I", T(2), "77", "0"), _item("U", T(2), None, "0", "0")], "b1")
+    run = apply()
+    assert "order_year=2023/order_month=3" not in run.touched
+    assert apply() is None
+    # Only new lines of a month that has others: these stay.
+    lake.deliver("order_items", [_item("I", T(4), "200", "2")], "b2")
+    assert apply().touched == ["order_year=2023/order_month=3"]
+
+
 # ---- replay ---------------------------------------------------------------------
 
 def _payment(op, ts, key, amount, day="2023-01-05"):
