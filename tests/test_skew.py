@@ -67,3 +67,36 @@ def test_hot_partition_month_is_written_by_several_tasks(spark, tmp_root):
     files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(path).count() == n
+
+
+def test_hot_parent_is_split_although_the_newest_rows_rely_on_the_join(spark, tmp_root):
+    """Lines are joined to their order before the newest row of each is taken, so
+    the window needs no shuffle of its own; a hot order must be split all the same."""
+    from changelake.operators.cdc import latest_per_key
+    from changelake.operators.joins import skew_split
+    items = spark.range(200_000).select(
+        F.lit("I").alias("Op"), F.lit("2024-01-01").alias("_dms_timestamp"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("order_id"),
+        F.col("id").alias("line"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    items.repartition(8).write.parquet(f"{tmp_root}/items")
+    parents = spark.range(5000).select(F.col("id").alias("order_id"), F.lit("d").alias("order_date"))
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        def run():
+            joined = attach_parent(spark.read.parquet(f"{tmp_root}/items"), parents, "order_id")
+            df = latest_per_key(joined, ["order_id", "line"])
+            assert len(df.collect()) == 200_000
+            return df._jdf.queryExecution().executedPlan().toString()
+        assert "skewed" not in run()
+        with skew_split(spark):
+            assert "skewed" in run()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
