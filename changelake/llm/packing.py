@@ -7,13 +7,14 @@ first, and makes one distributed sweep: a gap adds one to a running height, a
 piece takes one away, so the piece that brings the height down from h takes the
 gap that brought it up to h -- the smallest free gap that holds it. Pieces that
 want the same gap are thus told apart by their rank. The heights come from
-counts per size (a table of at most two rows per length) and ranks inside a
-size, so neither pieces nor gaps ever meet in one task. A gap that would hold
-the longest unplaced piece several times is offered as so many equal parts, so
-it takes several pieces a round. Matched gaps shrink, and as many new sequences
-open as the pieces need at least: those longer than every gap, and all of them
-beyond the room that is left. The next round follows until all are placed; every
-round runs on Spark alike, whether many pieces are left or few.
+counts per size (at most two numbers per length, which is all that the driver
+gets to see) and ranks inside a size, so neither pieces nor gaps ever meet in
+one task. A gap that would hold the longest unplaced piece several times is
+offered as so many equal parts, so it takes several pieces a round. Matched gaps
+shrink, and as many new sequences open as the pieces need at least: those longer
+than every gap, and all of them beyond the room that is left. The next round
+follows until all are placed; every round runs on Spark alike, whether many
+pieces are left or few.
 
 Pieces of at most ``crumb`` tokens come last, in one pass: laid end to end
 along the gaps, each reduced by the longest crumb so that none crosses an end.
@@ -28,11 +29,12 @@ from __future__ import annotations
 import math
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Stash, slices, with_row
@@ -179,93 +181,122 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, closing: int =
         run, f"_row bigint, doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
-def _sweep(items: DataFrame, gaps: DataFrame, least: int, most: int, sub: int) -> DataFrame:
-    """One round of ``items(item, length)``, ``least`` to ``most`` long, on
-    ``gaps(seq, room)``: rows (item, length, seq, room, before, used, nth) with
-    nulls where a side found no partner. ``used`` is what the round puts into
-    the sequence, ``before`` the part of it that stands before the item."""
-    # Gaps come before pieces of the same size; sub splits a size into parts.
-    none = F.lit(None).cast("bigint")
-    slots = gaps.where(F.col("room") >= least)
-    parts = F.greatest(F.lit(1), F.floor(F.col("room") / most)).cast("int")
-    slots = slots.select(F.lit(0).alias("kind"), F.col("seq").alias("id"), F.floor(F.col("room") / parts).alias("size"),
-                         "room", F.explode(F.array_repeat(F.lit(0), parts))).drop("col")
-    line = slots.unionByName(items.select(F.lit(1).alias("kind"), F.col("item").alias("id"),
-                                          F.col("length").alias("size"), none.alias("room")))
-    line = line.withColumn("sub", F.pmod(F.xxhash64("id"), F.lit(sub)))
-    at = [F.col("size").desc(), F.col("kind"), F.col("sub")]
-    counts = line.groupBy("size", "kind", "sub").agg(F.count("*").alias("n"))
-    # Height before each part: running sum reflected at zero. At most two rows
-    # per length and part, so the one sorted pass over them is bounded.
-    step = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
-    every = Window.orderBy(*at)
-    counts = (counts.withColumn("sum", F.sum(step).over(every.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("low", F.least(F.lit(0), F.min("sum").over(
-                  every.rowsBetween(Window.unboundedPreceding, 0))))
-              .withColumn("nth", F.row_number().over(every)))
-    height = F.lag(F.col("sum") - F.col("low"), 1, 0).over(every)
-    counts = counts.select("size", "kind", "sub", "nth", height.alias("height"))
+def _sub(key: str, subs: int):
+    """Hash part of an id; a length of very many pieces is ranked in parts."""
+    return F.pmod(F.xxhash64(key), F.lit(subs))
+
+
+def _counts(state: DataFrame, subs: int) -> tuple[Counter, Counter]:
+    """Gaps and pieces of ``state(kind, id, size)`` per (size, hash part): of a
+    table of any size at most two rows per length and part."""
+    per = state.groupBy("kind", "size", _sub("id", subs).alias("sub")).agg(F.count("*").alias("n")).collect()
+    return tuple(Counter({(r["size"], r["sub"]): r["n"] for r in per if r["kind"] == kind}) for kind in (0, 1))
+
+
+def _table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A few longs per length and hash part, for a broadcast join."""
+    names = columns.split()
+    return F.broadcast(spark.createDataFrame(pa.table(
+        [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[] for _ in names])], names)))
+
+
+def _heights(rooms: Counter, lengths: Counter, most: int) -> list[tuple[int, int, int, int, int]]:
+    """(size, kind, sub, nth, height): the order of the sweep and the height
+    before each part. Gaps come before pieces of the same size."""
+    line = Counter()
+    for (room, sub), n in rooms.items():
+        parts = max(1, room // most)
+        line[-(room // parts), 0, sub] += n * parts
+    for (length, sub), n in lengths.items():
+        line[-length, 1, sub] += n
+    out, height = [], 0
+    for nth, (size, kind, sub) in enumerate(sorted(line), 1):
+        out.append((-size, kind, sub, nth, height))
+        height = max(0, height + (-1 if kind else 1) * line[size, kind, sub])
+    return out
+
+
+def _sweep(line: DataFrame, heights: DataFrame, most: int, subs: int) -> DataFrame:
+    """One round over the gaps (kind 0) and pieces (kind 1) of ``line(kind, id,
+    size)``: rows (item, length, seq, room, before, used, nth) with nulls where a
+    side found no partner. ``used`` is what the round puts into the sequence,
+    ``before`` the part of it that stands before the item."""
+    gap = F.col("kind") == 0
+    parts = F.when(gap, F.greatest(F.lit(1), F.floor(F.col("size") / most))).otherwise(F.lit(1)).cast("int")
+    line = line.select("kind", "id", F.floor(F.col("size") / parts).alias("size"), _sub("id", subs).alias("sub"),
+                       F.when(gap, F.col("size")).alias("room"), F.explode(F.array_repeat(F.lit(0), parts))).drop("col")
     rank = F.row_number().over(Window.partitionBy("size", "kind", "sub").orderBy("id"))
-    line = line.withColumn("rank", rank).join(counts, ["size", "kind", "sub"])
-    line = line.withColumn("level", F.when(F.col("kind") == 0, F.col("height") + F.col("rank"))
+    line = line.withColumn("rank", rank).join(heights, ["size", "kind", "sub"])
+    line = line.withColumn("level", F.when(gap, F.col("height") + F.col("rank"))
                            .otherwise(F.col("height") - F.col("rank") + 1))
-    # A piece that finds the stack empty stays out of the levels.
-    lost = line.where("kind = 1 and level < 1").select(
-        F.col("id").alias("item"), F.col("size").alias("length"), none.alias("seq"), none.alias("room"),
-        none.alias("before"), none.alias("used"), F.lit(None).cast("int").alias("nth"))
-    line = line.where("level >= 1")
+    # A piece that finds the stack empty is below all gaps and stays alone.
     by = Window.partitionBy("level").orderBy("nth")
-    line = (line.withColumn("item", F.when(F.lead("kind").over(by) == 1, F.lead("id").over(by)))
-            .withColumn("length", F.when(F.col("item").isNotNull(), F.lead("size").over(by)))
-            .where("kind = 0"))
+    lost = F.col("level") < 1
+    line = line.withColumn("next", F.when(gap & (F.lead("kind").over(by) == 1),
+                                          F.struct(F.lead("id").over(by).alias("item"),
+                                                   F.lead("size").over(by).alias("length"))))
+    line = line.where(gap | lost).select(
+        "kind", "id", "room", F.when(lost, F.col("id")).otherwise(F.col("next.item")).alias("item"),
+        F.when(lost, F.col("size")).otherwise(F.col("next.length")).alias("length"))
     # A sequence has at most capacity / least parts.
-    inside = Window.partitionBy("id").orderBy("item")
+    inside = Window.partitionBy("id", "kind").orderBy("item")
     length = F.coalesce("length", F.lit(0))
     return line.select(
-        "item", "length", F.col("id").alias("seq"), "room",
-        (F.sum(length).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - length).alias("before"),
-        F.sum(length).over(Window.partitionBy("id")).alias("used"),
-        F.row_number().over(inside).alias("nth")).unionByName(lost)
+        "item", "length", F.when(gap, F.col("id")).alias("seq"), "room",
+        F.when(gap, F.sum(length).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - length).alias("before"),
+        F.when(gap, F.sum(length).over(Window.partitionBy("id", "kind"))).alias("used"),
+        F.when(gap, F.row_number().over(inside)).alias("nth"))
 
 
 def pack(items: DataFrame, capacity: int = 2048, crumb: int = 16, part_rows: int = 20_000_000) -> DataFrame:
     """(item, seq, offset) for ``items(item, length)``, item a unique long.
 
-    A sequence is named after the item that opened it.
+    A sequence is named after the item that opened it. The driver keeps counts
+    per length and hash part; a round is one count and one stored sweep.
     """
-    spark = items.sparkSession
-    stash = Stash(spark, "packing")
+    stash = Stash(items.sparkSession, "packing")
     zero = F.lit(0).cast("bigint")
-    big = items.where(F.col("length") * 2 > capacity)  # no two of these share a sequence
-    placed = [big.select("item", F.col("item").alias("seq"), zero.alias("offset"))]
-    gaps = stash.put(big.select(F.col("item").alias("seq"), (F.lit(capacity) - F.col("length")).alias("room")))
-    todo = stash.put(items.where((F.col("length") > crumb) & (F.col("length") * 2 <= capacity))
-                     .select("item", "length"))
-    closed = []
-    while True:
-        left, total, least, most = todo.agg(F.count("*"), F.sum("length"), F.min("length"), F.max("length")).first()
-        if not left:
-            break
-        widest, free = gaps.agg(F.max("room"), F.sum(F.when(F.col("room") >= least, F.col("room")))).first()
-        need = total - (free or 0)
-        if (widest or 0) < most:
-            need = max(need, todo.where(F.col("length") > (widest or 0)).agg(F.sum("length")).first()[0])
+    alone = F.col("length") * 2 > capacity  # no two of these share a sequence
+    placed = [items.where(alone).select("item", F.col("item").alias("seq"), zero.alias("offset"))]
+    subs = max(1, math.ceil(items.count() / part_rows))
+    state = items.select(F.when(alone, 0).otherwise(1).alias("kind"), F.col("item").alias("id"),
+                         F.when(alone, F.lit(capacity) - F.col("length")).otherwise(F.col("length")).alias("size"))
+    rooms, lengths = _counts(state, subs)
+    crumbs = Counter({k: n for k, n in lengths.items() if k[0] <= crumb})
+    state, lengths = state.where((F.col("kind") == 0) | (F.col("size") > crumb)), lengths - crumbs
+    closed, shut = [], Counter()
+    while lengths:
+        least, most, widest = min(lengths)[0], max(lengths)[0], max(rooms, default=(0,))[0]
+        need = _total(lengths) - sum(room * n for (room, _), n in rooms.items() if room >= least)
+        if widest < most:
+            need = max(need, sum(length * n for (length, _), n in lengths.items() if length > widest))
+        line = state
         if need > 0:
-            opened = stash.put(_largest(todo, math.ceil(need / capacity), part_rows))
-            placed.append(opened.select("item", F.col("item").alias("seq"), zero.alias("offset")))
-            gaps = gaps.unionByName(opened.select(
-                F.col("item").alias("seq"), (F.lit(capacity) - F.col("length")).alias("room")))
-            todo = todo.join(opened.select("item"), "item", "left_anti")
-        closed.append(gaps.where(F.col("room") < least))
-        done = stash.put(_sweep(todo, gaps, least, most, max(1, math.ceil(left / part_rows))))
+            opens, opened = _longest(state, lengths, math.ceil(need / capacity), subs)
+            placed.append(state.where(opens).select(F.col("id").alias("item"), F.col("id").alias("seq"),
+                                                    zero.alias("offset")))
+            line = state.select(F.when(opens, 0).otherwise(F.col("kind")).alias("kind"), "id",
+                                F.when(opens, F.lit(capacity) - F.col("size")).otherwise(F.col("size")).alias("size"))
+            lengths = lengths - opened
+            for (length, sub), n in opened.items():
+                rooms[capacity - length, sub] += n
+        over = (F.col("kind") == 0) & (F.col("size") < least)
+        closed.append(line.where(over))
+        small = Counter({k: n for k, n in rooms.items() if k[0] < least})
+        shut += small
+        heights = _table(stash.spark, _heights(rooms - small, lengths, most), "size kind sub nth height")
+        done = stash.put(_sweep(line.where(~over), heights, most, subs))
         hit = done.where("item is not null and seq is not null")
         placed.append(hit.select("item", "seq", (F.lit(capacity) - F.col("room") + F.col("before")).alias("offset")))
-        gaps = done.where("nth = 1").select("seq", (F.col("room") - F.col("used")).alias("room"))
-        todo = done.where("seq is null").select("item", "length")
-    gaps = _union([gaps, *closed])
-    crumbs = items.where(F.col("length") <= crumb)
-    if crumbs.limit(1).count():
-        placed.append(_crumbs(stash, crumbs, gaps, capacity, part_rows))
+        piece = F.col("seq").isNull()
+        state = done.where(piece | (F.col("nth") == 1)).select(
+            piece.cast("int").alias("kind"), F.coalesce("seq", "item").alias("id"),
+            F.when(piece, F.col("length")).otherwise(F.col("room") - F.col("used")).alias("size"))
+        rooms, lengths = _counts(state, subs)
+    if crumbs:
+        gaps = _union([state.where("kind = 0"), *closed]).select(F.col("id").alias("seq"), F.col("size").alias("room"))
+        placed.append(_crumbs(stash, items.where(F.col("length") <= crumb), crumbs, gaps, rooms + shut,
+                              capacity, subs))
     return _union(placed)
 
 
@@ -276,41 +307,47 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _largest(items: DataFrame, count: int, part_rows: int) -> DataFrame:
-    """The ``count`` longest items: whole lengths, and of the last length the
-    share of it that is still wanted, by hash part and rank."""
-    per = items.groupBy("length").agg(F.count("*").alias("n"))  # at most one row per length
-    above = F.sum("n").over(Window.orderBy(F.col("length").desc())) - F.col("n")
-    last = per.withColumn("above", above).where(F.col("above") < count).orderBy("length").first()
-    want, n = count - last["above"], last["n"]
-    if want >= n:
-        return items.where(F.col("length") >= last["length"]).select("item", "length")
-    parts = max(1, math.ceil(n / part_rows))
-    edge = items.where(F.col("length") == last["length"]).withColumn(
-        "sub", F.pmod(F.xxhash64("item"), F.lit(parts)))
-    sums = edge.groupBy("sub").agg(F.count("*").alias("c"))
-    sums = sums.select("sub", (F.sum("c").over(Window.orderBy("sub")) - F.col("c")).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("sub").orderBy("item"))
-    edge = edge.withColumn("rank", rank).join(sums, "sub")
-    return items.where(F.col("length") > last["length"]).select("item", "length").unionByName(
-        edge.where(F.col("before") + F.col("rank") <= want).select("item", "length"))
-
-
-def _crumbs(stash: Stash, crumbs: DataFrame, gaps: DataFrame, capacity: int, part_rows: int) -> DataFrame:
+def _total(counts: Counter) -> int:
+    return sum(size * n for (size, _), n in counts.items())
+
+
+def _longest(state: DataFrame, lengths: Counter, count: int, subs: int) -> tuple[Column, Counter]:
+    """The ``count`` longest pieces, as a condition on ``state`` and their counts:
+    whole lengths, and of the last length whole hash parts and the least ids of
+    one more. Only that part is ranked, and one id comes to the driver."""
+    opened = Counter()
+    for (size, sub), n in sorted(lengths.items(), key=lambda x: (-x[0][0], x[0][1])):
+        opened[size, sub] = min(n, count)
+        count -= opened[size, sub]
+        if not count:
+            break
+    length, part = F.col("size"), _sub("id", subs)
+    inside = (F.col("kind") == 1) & (length == size) & (part == sub)
+    opens = (length > size) | (length == size) & (part < sub)
+    if opened[size, sub] < n:
+        rank = F.row_number().over(Window.partitionBy("size").orderBy("id"))
+        edge = state.where(inside).select("size", "id").withColumn("rank", rank)
+        last = edge.where(F.col("rank") == opened[size, sub]).first()["id"]
+        inside &= F.col("id") <= last
+    return (F.col("kind") == 1) & (opens | inside), opened
+
+
+def _crumbs(stash: Stash, crumbs: DataFrame, sizes: Counter, gaps: DataFrame, rooms: Counter,
+            capacity: int, subs: int) -> DataFrame:
     """Lay short pieces end to end along the gaps, widest gaps first."""
-    crumbs = crumbs.select("item", "length")
-    n, need, longest = crumbs.agg(F.count("*"), F.sum("length"), F.max("length")).first()
-    free = gaps.where(F.col("room") > longest).select(
-        "seq", "room", (F.col("room") - longest + 1).alias("span"))
-    have = free.agg(F.sum("span")).first()[0] or 0
-    if have < need:
-        # New sequences, named by negative numbers that no item has.
-        more = math.ceil((need - have) / (capacity - longest + 1))
+    longest = max(sizes)[0]
+    spans = Counter({k: n for k, n in rooms.items() if k[0] > longest})
+    missing = _total(sizes) - sum((room - longest + 1) * n for (room, _), n in spans.items())
+    # New sequences stand first, named by negative numbers that no item has.
+    more, whole = max(0, math.ceil(missing / (capacity - longest + 1))), capacity - longest + 1
+    span = (F.col("room") - longest + 1).alias("span")
+    free = _running(gaps.where(F.col("room") > longest).select("seq", "room", span), "seq", "span", "room",
+                    spans, 1 - longest, more * whole, subs)
+    if more:
         free = free.unionByName(stash.spark.range(1, more + 1).select(
             (-F.col("id")).alias("seq"), F.lit(capacity).cast("bigint").alias("room"),
-            F.lit(capacity - longest + 1).cast("bigint").alias("span")))
-    free = _running(stash, free, "seq", "span", F.col("room").desc(), "room", part_rows)
-    items = _running(stash, crumbs, "item", "length", F.col("length").desc(), "length", part_rows)
+            F.lit(whole).cast("bigint").alias("span"), ((F.col("id") - 1) * whole).alias("at")))
+    items = _running(crumbs.select("item", "length"), "item", "length", "length", sizes, 0, 0, subs)
     # The gap whose span holds a crumb's start: one range-partitioned sort of
     # gaps and crumbs by start; the nearest gap before each crumb is carried
     # along inside a block of ``width`` tokens, into which gaps are repeated.
@@ -327,22 +364,23 @@ def _crumbs(stash: Stash, crumbs: DataFrame, gaps: DataFrame, capacity: int, par
     got = (got.withColumn("g", F.last(F.when(F.col("kind") == 0, F.struct("seq", "room", "pos")), True).over(by))
            .where("kind = 1"))
     first = F.min("pos").over(Window.partitionBy("g.seq"))
-    return got.select("item", F.col("g.seq").alias("seq"),
-                      (F.lit(capacity) - F.col("g.room") + F.col("pos") - first).alias("offset"))
-
-
-def _running(stash: Stash, df: DataFrame, key: str, size: str, order, cls: str, part_rows: int) -> DataFrame:
-    """``at``: the sum of ``size`` over the rows before, in the order of ``cls``
-    (at most ``capacity`` values), hash part and key."""
-    df = stash.put(df)
-    parts = max(1, math.ceil(df.count() / part_rows))
-    df = df.withColumn("sub", F.pmod(F.xxhash64(key), F.lit(parts)))
-    sums = df.groupBy(cls, "sub").agg(F.sum(size).alias("s"))
-    sums = sums.select(cls, "sub", (F.sum("s").over(Window.orderBy(order, "sub")) - F.col("s")).alias("before"))
+    return stash.put(got.select("item", F.col("g.seq").alias("seq"),
+                                (F.lit(capacity) - F.col("g.room") + F.col("pos") - first).alias("offset")))
+
+
+def _running(df: DataFrame, key: str, size: str, cls: str, counts: Counter, less: int, start: int,
+             subs: int) -> DataFrame:
+    """``at``: ``start`` and the sum of ``size`` (``cls`` and ``less``) over the
+    rows before, by falling ``cls``, hash part and key."""
+    rows = []
+    for (c, sub), n in sorted(counts.items(), key=lambda x: (-x[0][0], x[0][1])):
+        rows.append((c, sub, start))
+        start += (c + less) * n
     inner = F.sum(size).over(Window.partitionBy(cls, "sub").orderBy(key)
                              .rowsBetween(Window.unboundedPreceding, 0)) - F.col(size)
-    df = df.withColumn("inner", inner).join(sums, [cls, "sub"])
-    return stash.put(df.withColumn("at", F.col("before") + F.col("inner")).drop("sub", "before", "inner"))
+    df = df.withColumn("sub", _sub(key, subs)).withColumn("inner", inner)
+    df = df.join(_table(df.sparkSession, rows, f"{cls} sub start"), [cls, "sub"])
+    return df.withColumn("at", F.col("start") + F.col("inner")).drop("sub", "inner", "start")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, **params) -> DataFrame:

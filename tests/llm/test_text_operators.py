@@ -482,6 +482,33 @@ def test_packing_is_gapless_and_close_to_best(spark, seed, low, high, slack):
     assert len(by) <= len(bins) * slack + 2
 
 
+def test_packing_rounds_are_few_jobs(spark):
+    """Plans and jobs of the rounds fill the driver's memory: one count and one
+    sweep each (38 jobs; 95 when every round also stored what it opened)."""
+    r = random.Random(4)
+    frame = spark.createDataFrame([(i, r.randint(100, 103)) for i in range(3000)], "item bigint, length bigint")
+    sc = spark.sparkContext
+    sc.setJobGroup("packing-rounds", "packing rounds")
+    try:
+        got = packing.pack(frame.repartition(3)).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len({x.item for x in got}) == len(got) == 3000 and len({x.seq for x in got}) <= 153
+    assert len(sc.statusTracker().getJobIdsForGroup("packing-rounds")) <= 60
+
+
+def test_packing_splits_a_length_by_hash_parts(spark):
+    frame = spark.createDataFrame([(i, n) for i, n in enumerate([700] * 900 + [5] * 400)], "item bigint, length bigint")
+    ends, counts = {}, Counter()
+    for x in packing.pack(frame.repartition(3), part_rows=100).collect():
+        counts[x.item] += 1
+        ends.setdefault(x.seq, []).append((x.offset, 700 if x.item < 900 else 5))
+    assert len(counts) == 1300 and set(counts.values()) == {1} and len(ends) == 450
+    for rows in ends.values():
+        at = sorted(rows)
+        assert [o for o, _ in at] == [sum(n for _, n in at[:k]) for k in range(len(at))] and sum(n for _, n in at) <= 2048
+
+
 def test_pieces_rebuild_every_document(spark, docs, none):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(queries.tokenizer_path())
