@@ -29,9 +29,9 @@ class Stash:
         self._n = 0
         self._paths: dict[int, str] = {}
 
-    def put(self, df: DataFrame, **options: str) -> DataFrame:
+    def put(self, df: DataFrame, at: str | None = None, **options: str) -> DataFrame:
         self._n += 1
-        path = f"{self.root}/{self._n:03d}"
+        path = f"{self.root}/{at or f'{self._n:03d}'}"
         df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path

@@ -36,6 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .common import Stash, slices, with_row
 
@@ -218,13 +219,15 @@ def _heights(rooms: Counter, lengths: Counter, most: int) -> list[tuple[int, int
 
 def _sweep(line: DataFrame, heights: DataFrame, most: int, subs: int) -> DataFrame:
     """One round over the gaps (kind 0) and pieces (kind 1) of ``line(kind, id,
-    size)``: rows (item, length, seq, room, before, used, nth) with nulls where a
-    side found no partner. ``used`` is what the round puts into the sequence,
-    ``before`` the part of it that stands before the item."""
+    size, fresh)``: rows (item, length, seq, room, before, used, nth, fresh) with
+    nulls where a side found no partner. ``used`` is what the round puts into the
+    sequence, ``before`` the part of it that stands before the item; ``fresh`` says
+    that the round opened the sequence."""
     gap = F.col("kind") == 0
     parts = F.when(gap, F.greatest(F.lit(1), F.floor(F.col("size") / most))).otherwise(F.lit(1)).cast("int")
     line = line.select("kind", "id", F.floor(F.col("size") / parts).alias("size"), _sub("id", subs).alias("sub"),
-                       F.when(gap, F.col("size")).alias("room"), F.explode(F.array_repeat(F.lit(0), parts))).drop("col")
+                       F.when(gap, F.col("size")).alias("room"), "fresh",
+                       F.explode(F.array_repeat(F.lit(0), parts))).drop("col")
     rank = F.row_number().over(Window.partitionBy("size", "kind", "sub").orderBy("id"))
     line = line.withColumn("rank", rank).join(heights, ["size", "kind", "sub"])
     line = line.withColumn("level", F.when(gap, F.col("height") + F.col("rank"))
@@ -236,7 +239,7 @@ def _sweep(line: DataFrame, heights: DataFrame, most: int, subs: int) -> DataFra
                                           F.struct(F.lead("id").over(by).alias("item"),
                                                    F.lead("size").over(by).alias("length"))))
     line = line.where(gap | lost).select(
-        "kind", "id", "room", F.when(lost, F.col("id")).otherwise(F.col("next.item")).alias("item"),
+        "kind", "id", "room", "fresh", F.when(lost, F.col("id")).otherwise(F.col("next.item")).alias("item"),
         F.when(lost, F.col("size")).otherwise(F.col("next.length")).alias("length"))
     # A sequence has at most capacity / least parts.
     inside = Window.partitionBy("id", "kind").orderBy("item")
@@ -245,56 +248,71 @@ def _sweep(line: DataFrame, heights: DataFrame, most: int, subs: int) -> DataFra
         "item", "length", F.when(gap, F.col("id")).alias("seq"), "room",
         F.when(gap, F.sum(length).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - length).alias("before"),
         F.when(gap, F.sum(length).over(Window.partitionBy("id", "kind"))).alias("used"),
-        F.when(gap, F.row_number().over(inside)).alias("nth"))
+        F.when(gap, F.row_number().over(inside)).alias("nth"), "fresh")
 
 
 def pack(items: DataFrame, capacity: int = 2048, crumb: int = 16, part_rows: int = 20_000_000) -> DataFrame:
     """(item, seq, offset) for ``items(item, length)``, item a unique long.
 
     A sequence is named after the item that opened it. The driver keeps counts
-    per length and hash part; a round is one count and one stored sweep.
+    per length and hash part; a round is one count and one stored sweep, and the
+    places are read from the sweeps of all rounds at once.
     """
     stash = Stash(items.sparkSession, "packing")
     zero = F.lit(0).cast("bigint")
     alone = F.col("length") * 2 > capacity  # no two of these share a sequence
-    placed = [items.where(alone).select("item", F.col("item").alias("seq"), zero.alias("offset"))]
     subs = max(1, math.ceil(items.count() / part_rows))
     state = items.select(F.when(alone, 0).otherwise(1).alias("kind"), F.col("item").alias("id"),
-                         F.when(alone, F.lit(capacity) - F.col("length")).otherwise(F.col("length")).alias("size"))
+                         F.when(alone, F.lit(capacity) - F.col("length")).otherwise(F.col("length")).alias("size"),
+                         alone.alias("fresh"))
     rooms, lengths = _counts(state, subs)
     crumbs = Counter({k: n for k, n in lengths.items() if k[0] <= crumb})
     state, lengths = state.where((F.col("kind") == 0) | (F.col("size") > crumb)), lengths - crumbs
-    closed, shut = [], Counter()
+    swept, bounds, shut = f"{stash.root}/sweeps", [], Counter()
     while lengths:
         least, most, widest = min(lengths)[0], max(lengths)[0], max(rooms, default=(0,))[0]
+        if bounds:  # gaps too small for every piece left; new ones are swept once, so all are stored
+            bounds[-1] = least
+            state = state.where((F.col("kind") == 1) | (F.col("size") >= least))
+            small = Counter({k: n for k, n in rooms.items() if k[0] < least})
+            rooms, shut = rooms - small, shut + small
         need = _total(lengths) - sum(room * n for (room, _), n in rooms.items() if room >= least)
         if widest < most:
             need = max(need, sum(length * n for (length, _), n in lengths.items() if length > widest))
         line = state
         if need > 0:
             opens, opened = _longest(state, lengths, math.ceil(need / capacity), subs)
-            placed.append(state.where(opens).select(F.col("id").alias("item"), F.col("id").alias("seq"),
-                                                    zero.alias("offset")))
             line = state.select(F.when(opens, 0).otherwise(F.col("kind")).alias("kind"), "id",
-                                F.when(opens, F.lit(capacity) - F.col("size")).otherwise(F.col("size")).alias("size"))
+                                F.when(opens, F.lit(capacity) - F.col("size")).otherwise(F.col("size")).alias("size"),
+                                (F.col("fresh") | opens).alias("fresh"))
             lengths = lengths - opened
             for (length, sub), n in opened.items():
                 rooms[capacity - length, sub] += n
-        over = (F.col("kind") == 0) & (F.col("size") < least)
-        closed.append(line.where(over))
-        small = Counter({k: n for k, n in rooms.items() if k[0] < least})
-        shut += small
-        heights = _table(stash.spark, _heights(rooms - small, lengths, most), "size kind sub nth height")
-        done = stash.put(_sweep(line.where(~over), heights, most, subs))
-        hit = done.where("item is not null and seq is not null")
-        placed.append(hit.select("item", "seq", (F.lit(capacity) - F.col("room") + F.col("before")).alias("offset")))
+        heights = _table(stash.spark, _heights(rooms, lengths, most), "size kind sub nth height")
+        done = stash.put(_sweep(line, heights, most, subs), at=f"sweeps/round={len(bounds)}")
+        bounds.append(capacity + 1)
         piece = F.col("seq").isNull()
         state = done.where(piece | (F.col("nth") == 1)).select(
             piece.cast("int").alias("kind"), F.coalesce("seq", "item").alias("id"),
-            F.when(piece, F.col("length")).otherwise(F.col("room") - F.col("used")).alias("size"))
+            F.when(piece, F.col("length")).otherwise(F.col("room") - F.col("used")).alias("size"),
+            F.lit(False).alias("fresh"))
         rooms, lengths = _counts(state, subs)
+    if bounds:
+        # One scan over the sweeps of all rounds, so the plan does not grow with them.
+        schema = StructType([*done.schema, StructField("round", IntegerType())])
+        every = stash.spark.read.schema(schema).parquet(swept).where("seq is not null")
+        new = F.when(F.col("fresh") & (F.col("nth") == 1),
+                     F.struct(F.col("seq").alias("item"), "seq", zero.alias("offset")))
+        hit = F.when(F.col("item").isNotNull(), F.struct("item", "seq", (
+            F.lit(capacity) - F.col("room") + F.col("before")).alias("offset")))
+        placed = [every.select(F.explode(F.array_compact(F.array(new, hit))).alias("p")).select("p.*")]
+        left = F.col("room") - F.col("used")
+        gaps = every.where((F.col("nth") == 1) & (left < F.get(F.array(*map(F.lit, bounds)), F.col("round"))))
+        gaps = gaps.select("seq", left.alias("room"))
+    else:
+        placed = [items.where(alone).select("item", F.col("item").alias("seq"), zero.alias("offset"))]
+        gaps = state.where("kind = 0").select(F.col("id").alias("seq"), F.col("size").alias("room"))
     if crumbs:
-        gaps = _union([state.where("kind = 0"), *closed]).select(F.col("id").alias("seq"), F.col("size").alias("room"))
         placed.append(_crumbs(stash, items.where(F.col("length") <= crumb), crumbs, gaps, rooms + shut,
                               capacity, subs))
     return _union(placed)

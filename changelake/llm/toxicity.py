@@ -140,15 +140,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
                                  "dn": [dn.astype("<f4").tobytes()]})
 
         kind = "block int, dz binary, dn binary"
-        # 2**bits + 1 coordinates in all, whatever the input and the shards.
+        # 2**bits + 1 coordinates in all, whatever the input and the shards. They come
+        # as Arrow: rows would be unpacked and pickled in the driver's memory first.
         deltas = (rows.select("shard", "y", "x").groupBy("shard").applyInPandas(one_pass, f"shard bigint, {kind}")
-                  .groupBy("block").applyInPandas(average, kind)).collect()
+                  .groupBy("block").applyInPandas(average, kind)).toArrow()
         state.destroy()
-        while deltas:
-            delta = deltas.pop()
-            at = slice(edges[delta.block], edges[delta.block + 1])
-            z[at] += np.frombuffer(delta.dz, "<f4")
-            n[at] += np.frombuffer(delta.dn, "<f4")
+        for block, dz, dn in zip(*deltas.columns):
+            at = slice(edges[block.as_py()], edges[block.as_py() + 1])
+            z[at] += np.frombuffer(dz.as_buffer(), "<f4")
+            n[at] += np.frombuffer(dn.as_buffer(), "<f4")
+        del deltas
     rows.unpersist()
     return weights_of(z, n, alpha, beta, l1, l2)
 

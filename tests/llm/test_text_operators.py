@@ -497,6 +497,24 @@ def test_packing_rounds_are_few_jobs(spark):
     assert len(sc.statusTracker().getJobIdsForGroup("packing-rounds")) <= 60
 
 
+def test_packing_result_scans_all_rounds_at_once(spark):
+    """A scan for every round, each with its own broadcast and tasks, fills the
+    driver's memory where tables have many partitions."""
+    r = random.Random(8)
+    lengths = [r.choice((r.randint(1, 40), r.randint(41, 700), r.randint(701, 2000))) for _ in range(2000)]
+    frame = spark.createDataFrame(list(enumerate(lengths)), "item bigint, length bigint")
+    got = packing.pack(frame)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 3
+    by = {}
+    for x in got.collect():
+        by.setdefault(x.seq, []).append((x.offset, lengths[x.item]))
+    assert sum(map(len, by.values())) == 2000
+    for rows in by.values():
+        at = sorted(rows)
+        assert [o for o, _ in at] == [sum(n for _, n in at[:k]) for k in range(len(at))] and sum(n for _, n in at) <= 2048
+
+
 def test_packing_splits_a_length_by_hash_parts(spark):
     frame = spark.createDataFrame([(i, n) for i, n in enumerate([700] * 900 + [5] * 400)], "item bigint, length bigint")
     ends, counts = {}, Counter()
